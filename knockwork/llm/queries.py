@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knockwork.llm import quality
+from knockwork.llm import quality, tokencount
+
+#: Vocabulary and limit of the token counts.
+WORD_BPE = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +20,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), TOKEN_LIMIT)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_token_counts": op2_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
