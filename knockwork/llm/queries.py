@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knockwork.llm import quality, tokencount
+from knockwork.llm import bytebpe, quality, tokencount
 
 #: Vocabulary and limit of the token counts.
 WORD_BPE = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+#: Ranks of the byte-level encoding.
+BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +26,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), TOKEN_LIMIT)
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
