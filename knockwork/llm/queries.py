@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knockwork.llm import bytebpe, quality, simhash, tokencount
+from knockwork.llm import bytebpe, quality, simhash, substr, tokencount
 
 #: Vocabulary and limit of the token counts.
 WORD_BPE = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substr.digests(_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op5_simhash": op5_simhash,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
