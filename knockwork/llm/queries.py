@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knockwork.llm import bytebpe, quality, simhash, substr, tokencount
+from knockwork.llm import bytebpe, decontam, quality, simhash, substr, tokencount
 
 #: Vocabulary and limit of the token counts.
 WORD_BPE = "word_bpe_49k.json"
@@ -26,6 +26,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), TOKEN_LIMIT)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
+    "op3_decontamination": op3_decontamination,
     "op5_simhash": op5_simhash,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,
