@@ -18,6 +18,11 @@ P1, P2, P3, P4, P5 = map(U, (11400714785074694791, 14029467366897019727, 1609587
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Separators other than white space: ASCII but letters, and ASCII but letters and digits.
+NOT_LETTERS = np.zeros(256, bool)
+NOT_LETTERS[:128] = [not chr(b).isalpha() for b in range(128)]
+NOT_ALNUM = np.zeros(256, bool)
+NOT_ALNUM[:128] = [not chr(b).isalnum() for b in range(128)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -64,14 +69,14 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def scan(texts: pa.Array, lower: bool = False) -> Words:
+def scan(texts: pa.Array, lower: bool = False, separators: np.ndarray = _SPACE) -> Words:
     raw, at = bytes_of(texts)
     if lower:
         raw = _LOWER[raw]
     if not len(raw):
         none = np.zeros(0, np.int64)
         return Words(np.zeros(8, np.uint8), none, none, np.zeros(len(at), np.int64))
-    space = _SPACE[raw]
+    space = separators[raw]
     before, after = np.empty_like(space), np.empty_like(space)
     before[1:], after[:-1] = space[:-1], space[1:]
     before[at[:-1][at[:-1] < len(raw)]] = True
