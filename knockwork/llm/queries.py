@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knockwork.llm import bytebpe, decontam, quality, simhash, substr, tokencount, toxicity
+from knockwork.llm import bytebpe, decontam, langid, quality, simhash, substr, tokencount, toxicity
 
 #: Vocabulary and limit of the token counts.
 WORD_BPE = "word_bpe_49k.json"
@@ -38,6 +38,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substr.digests(_table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.judge(_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op5_simhash": op5_simhash,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_language": op7_language,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_toxicity": op10_toxicity,
 }
