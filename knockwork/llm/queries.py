@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knockwork.llm import bytebpe, decontam, langid, quality, simhash, substr, tokencount, toxicity
+from knockwork.llm import bytebpe, decontam, htmlwrap, langid, quality, simhash, substr, tokencount, toxicity
 
 #: Vocabulary and limit of the token counts.
 WORD_BPE = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlwrap.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_decontamination": op3_decontamination,
+    "op4_html_text": op4_html_text,
     "op5_simhash": op5_simhash,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language": op7_language,
