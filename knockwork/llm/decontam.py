@@ -27,19 +27,26 @@ from knockwork.llm.scratch import Scratch
 
 #: Fixed values of the contract.
 WINDOW = 13
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LEAST_SHARE = 20
 
 #: Words that are broadcast at once.
 BLOCK_TERMS = 200_000
 
+#: Stands after the last word of every document, so that the index knows documents without hits; no word holds it.
+LAST = "\x00"
 
-def words(text: Column) -> Column:
-    """Words with A-Z in lower case; an empty array for a null text."""
+
+def _split(text: Column) -> Column:
+    """Words with A-Z in lower case; an empty string stands first or last where the text starts or ends between words."""
     plain = F.octet_length(text) == F.char_length(text)
     small = F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
-    return F.coalesce(F.regexp_extract_all(small, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.split(F.coalesce(small, F.lit("")), BETWEEN)
+
+
+def words(text: Column) -> Column:
+    """Words with A-Z in lower case; an empty array for a null text."""
+    return F.array_remove(_split(text), "")
 
 
 def windows(benchmark: DataFrame, text: str = "text", item: str = "item_id", size: int = WINDOW) -> DataFrame:
@@ -76,13 +83,18 @@ def rarest_first(found: DataFrame, frequency: DataFrame) -> DataFrame:
 
 
 def index(docs: DataFrame, terms: DataFrame, scratch: Scratch, reach: int = WINDOW - 1, block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """Postings (term, doc, tag, pos, around, at) of the words ``terms``; ``around[at]`` is the word itself."""
+    """Postings (term, doc, tag, pos, n, around, at) of the words ``terms``; ``around[at]`` is the word itself, n the document's words.
+
+    Every document has one more posting, of the word ``LAST``.
+    """
+    n = F.expr("size(ws) - int(ws[0] = '') - int(size(ws) > 1 and element_at(ws, -1) = '')").cast("long")
+    ended = docs.select("doc", "tag", n.alias("n"), F.array_append("ws", F.lit(LAST)).alias("ws"))
+    last = docs.sparkSession.createDataFrame([(LAST,)], "term string")
+    around = F.when(F.col("term") != LAST, F.expr(f"slice(ws, greatest(pos - {reach}, 0) + 1, {2 * reach + 1})"))
     out = None
-    for block in _blocks(terms, block_terms):
-        found = _tokens(docs, block, "doc", "tag", "pos", F.expr(f"slice(ws, greatest(pos - {reach}, 0) + 1, {2 * reach + 1})").alias("around"), F.least(F.col("pos"), F.lit(reach)).alias("at"))
+    for block in _blocks(terms, block_terms) or [terms]:
+        found = _tokens(ended, block.select("term").union(last) if out is None else block, "doc", "tag", "pos", "n", around.alias("around"), F.least(F.col("pos"), F.lit(reach)).alias("at"))
         out = found if out is None else out.union(found)
-    if out is None:
-        out = terms.join(docs.limit(0).select("doc", "tag"), F.lit(False)).select("term", "doc", "tag", F.lit(0).alias("pos"), F.array("term").alias("around"), F.lit(0).alias("at"))
     return scratch.keep(out, "postings")
 
 
@@ -98,64 +110,43 @@ def matches(postings: DataFrame, anchored: DataFrame, near: float | None = None)
     return both.filter(hit).select("id", "doc", "tag", start.alias("start"), F.size("w").alias("size"))
 
 
-def _prepared(docs: DataFrame, text: str, key: str) -> DataFrame:
-    return docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("tag"), words(F.col(text)).alias("ws"))
-
-
-def _hits(docs: DataFrame, benchmark: DataFrame, text: str, key: str, item: str, bench_text: str, size: int, block_terms: int) -> DataFrame:
-    """(doc, tag, n_hit, items) of the documents that hold a window."""
+def _judged(docs: DataFrame, benchmark: DataFrame, text: str, key: str, item: str, bench_text: str, size: int, block_terms: int) -> DataFrame:
+    """(doc, tag, n, n_hit, items) of every row."""
     scratch = Scratch(docs.sparkSession, "decontam")
     found = scratch.keep(windows(benchmark, bench_text, item, size), "windows")
-    given = _prepared(docs, text, key)
+    given = docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("tag"), _split(F.col(text)).alias("ws"))
     terms = found.select(F.explode("w").alias("term")).distinct()
     anchored = scratch.keep(rarest_first(found, frequencies(given, terms, scratch, block_terms)), "anchored")
     postings = index(given, anchored.select("term").distinct(), scratch, size - 1, block_terms)
-    hit = scratch.keep(matches(postings, anchored).distinct(), "matches")
+    hit = scratch.keep(matches(postings.filter(F.col("term") != LAST), anchored).distinct(), "matches")
     covered = hit.groupBy("doc", "tag").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("spans")).select(
         "doc", "tag",
         F.expr("aggregate(spans, named_struct('to', 0, 'n', 0L), (s, x) -> named_struct('to', greatest(s.to, x.start + x.size),"
                " 'n', s.n + greatest(0, x.start + x.size - greatest(s.to, x.start))), s -> s.n)").alias("n_hit"))
     items = hit.select("doc", "tag", "id").distinct().join(found.select("id", "item"), "id").groupBy("doc", "tag").agg(F.collect_set(F.col("item").cast("string")).alias("items"))
-    # A null id meets itself here, as every other one does.
-    same = covered.doc.eqNullSafe(items.doc) & (covered.tag == items.tag)
-    return scratch.keep(covered.join(items, same).select(covered.doc, covered.tag, "n_hit", F.array_sort("items").alias("items")), "hits")
-
-
-def _judged(docs: DataFrame, hits: DataFrame, text: str, key: str) -> DataFrame:
-    """``docs`` with decon__n_words, decon__n_hit and decon__items."""
-    hits = hits.select(F.col("doc").alias("decon__doc"), F.col("tag").alias("decon__tag"), F.col("n_hit").alias("decon__hit"), F.col("items").alias("decon__found"))
-    out = docs.join(hits, docs[key].eqNullSafe(hits.decon__doc) & (docs.decon__own == hits.decon__tag), "left")
-    return out.withColumns({
-        "decon__n_hit": F.coalesce("decon__hit", F.lit(0).cast("long")),
-        "decon__items": F.coalesce("decon__found", F.array().cast("array<string>")),
-    })
 
+    def same(a: DataFrame, b: DataFrame) -> Column:
+        return a.doc.eqNullSafe(b.doc) & (a.tag == b.tag)  # a null id meets itself, as every other one does
 
-_N_WORDS = "decon__n_words"
-CONTAMINATED = (F.col("decon__n_hit") > 0) & (LEAST_SHARE * F.col("decon__n_hit") >= F.col(_N_WORDS))
+    hits = covered.join(items, same(covered, items)).select(covered.doc, covered.tag, "n_hit", F.array_sort("items").alias("items"))
+    rows = postings.filter(F.col("term") == LAST).select("doc", "tag", "n")
+    return rows.join(hits, same(rows, hits), "left").select(
+        rows.doc, rows.tag, "n", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
-def _counted(docs: DataFrame, text: str) -> DataFrame:
-    n = F.coalesce(F.regexp_count(F.col(text), F.lit(CASED_WORD)), F.lit(0)).cast("long")
-    return docs.withColumns({"decon__own": F.xxhash64(text), _N_WORDS: n})
+CONTAMINATED = (F.col("n_hit") > 0) & (LEAST_SHARE * F.col("n_hit") >= F.col("n"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", bench_text: str = "text", size: int = WINDOW, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """``key``, n_words, n_hit, n_items, items_sha256 and contaminated of every row."""
-    docs = docs.select(key, text)
-    hits = _hits(docs, benchmark, text, key, item, bench_text, size, block_terms)
-    judged = _judged(_counted(docs, text).drop(text), hits, text, key)
-    return judged.select(
-        key, F.col(_N_WORDS).alias("n_words"), F.col("decon__n_hit").alias("n_hit"), F.size("decon__items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("decon__items", ","), 256).alias("items_sha256"), CONTAMINATED.alias("contaminated"),
+    return _judged(docs, benchmark, text, key, item, bench_text, size, block_terms).select(
+        F.col("doc").alias(key), F.col("n").alias("n_words"), "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), CONTAMINATED.alias("contaminated"),
     )
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", bench_text: str = "text", size: int = WINDOW, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """The rows that aren't contaminated, with all their columns."""
-    hits = _hits(docs.select(key, text), benchmark, text, key, item, bench_text, size, block_terms)
-    # Only the keys of what goes are joined to the rows; they hold nothing else.
-    counted = _counted(docs.select(key, text), text).drop(text)
-    gone = _judged(counted, hits, text, key).filter(CONTAMINATED).select(F.col(key).alias("decon__key"), F.col("decon__own").alias("decon__tag")).distinct()
-    same = docs[key].eqNullSafe(gone.decon__key) & (F.xxhash64(docs[text]) == gone.decon__tag)
-    return docs.join(gone, same, "left_anti")
+    judged = _judged(docs, benchmark, text, key, item, bench_text, size, block_terms)
+    gone = judged.filter(CONTAMINATED).select(F.col("doc").alias("decon__doc"), F.col("tag").alias("decon__tag")).distinct()
+    return docs.join(gone, docs[key].eqNullSafe(gone.decon__doc) & (F.xxhash64(docs[text]) == gone.decon__tag), "left_anti")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from knockwork.llm import bytebpe, decontam, htmlwrap, langid, quality, simhash, substr, tokencount, toxicity
+from knockwork.llm import bytebpe, decontam, fixity, htmlwrap, langid, quality, simhash, substr, tokencount, toxicity
 
 #: Vocabulary and limit of the token counts.
 WORD_BPE = "word_bpe_49k.json"
@@ -46,6 +47,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.judge(_table(spark, sf_dir, "documents"))
 
 
+def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, audited against a replica in which each page whose id is divisible by 97 has a byte changed."""
+    pages = _table(spark, sf_dir, "pages")
+    replica = pages.withColumn("html", F.when(F.col("page_id") % 97 == 0, F.overlay("html", F.lit("x"), F.lit(1))).otherwise(F.col("html")))
+    return fixity.compare_archives(fixity.archive(pages), fixity.archive(replica)).withColumnRenamed("key", "page_id")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
@@ -62,8 +70,25 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language": op7_language,
+    "op8_warc_fixity": op8_warc_fixity,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc_fixity": r"""
+with written as (
+  select distinct page_id, floor(page_id / 1024.0)::bigint as segment,
+    'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:record:' || page_id || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+    || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+    || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) as record,
+    coalesce(page_id % 97 = 0 and length(html) > 0 and html[1] <> 'x', false) as damaged
+  from pages
+), hashed as (select page_id, segment, strlen(record)::bigint as n_bytes, sha256(record) as sha256, damaged from written)
+select segment, row_number() over w - 1 as record_no, page_id,
+  coalesce(sum(n_bytes) over (partition by segment order by page_id, sha256 rows between unbounded preceding and 1 preceding), 0)::bigint as "offset",
+  n_bytes, sha256, damaged
+from hashed window w as (partition by segment order by page_id, sha256)
+""",
+}

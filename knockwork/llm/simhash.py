@@ -129,7 +129,8 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
         pairs = np.unique(np.stack((np.minimum(other, centre)[near], np.maximum(other, centre)[near]), 1), axis=0)
         return pa.table([pa.array(pairs[:, 0].view(np.int64) if len(pairs) else [], pa.int64()), pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64) if len(pairs) else [], pa.int64())], ["a", "b"])
 
-    emitted = distinct.select("fp").mapInArrow(emit, "bucket long, variants binary, masks binary")
+    tasks = max(1, count * per_print // (4 * BUCKET_VARIANTS))
+    emitted = distinct.select("fp").repartition(tasks, "fp").mapInArrow(emit, "bucket long, variants binary, masks binary")
     return emitted.groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 

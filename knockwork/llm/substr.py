@@ -40,7 +40,7 @@ BUCKET_ENTRIES = 1 << 21
 #: Bytes of an anchor's hash that are sent, besides those its bucket tells.
 ANCHOR_BYTES = 5
 #: Bytes of text whose windows are collapsed at once.
-BLOCK = 16 << 20
+BLOCK = 4 << 20
 
 _BASE, _BASE2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _SENT = "bucket long, hashes binary, docs binary, tags binary, places binary"
@@ -281,8 +281,11 @@ def digests(docs: DataFrame, text: str = "text", key: str = "doc_id", window: in
     return out.withColumnRenamed("k", key)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
-    """All rows and columns; a text that has repeats keeps its other words, joined by one space, and others stay as they are."""
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, length: str | None = None) -> DataFrame:
+    """All rows and columns; a text that has repeats keeps its other words, joined by one space, and others stay as they are.
+
+    ``length`` names a column of text lengths, which follows the texts that get shorter.
+    """
     joined = _with_repeats(docs, text, key, window)
 
     @F.pandas_udf("string")
@@ -293,4 +296,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
         return type(texts)(out, dtype=object)
 
     shorter = F.when(F.col("substr__runs").isNull(), F.col(text)).otherwise(cut(F.col(text), F.col("substr__runs")))
-    return joined.withColumn(text, shorter).select(*docs.columns)
+    out = joined.withColumn(text, shorter)
+    if length in docs.columns:
+        out = out.withColumn(length, F.when(F.col("substr__runs").isNull(), F.col(length)).otherwise(F.char_length(text).cast(docs.schema[length].dataType)))
+    return out.select(*docs.columns)
