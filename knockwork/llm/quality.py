@@ -104,9 +104,9 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     }).drop("q_mask", "q_keys", "q_twins", "q_clash", "q_windows", "q_at", "q_lines")
 
 
-def plan_cascade(featured: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> list[Rule]:
+def plan_cascade(docs: DataFrame, rules: Sequence[Rule], text: str = "text", sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> list[Rule]:
     """The rules by rejections per second on a sample of at most ``sample_rows`` rows, highest first."""
-    sample = featured.sample(0.1, seed).limit(sample_rows).persist()
+    sample = features(docs.sample(0.1, seed).limit(sample_rows), text).persist()
     try:
         n = sample.count()
         if not n:
@@ -137,8 +137,9 @@ def verdict(cascade: Sequence[Rule]) -> Column:
 
 def judge(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The contract's counts and verdict for every document."""
-    featured = features(docs.select(key, text), text)
-    cascade = plan_cascade(featured, default_rules(text) if rules is None else rules, sample_rows)
+    docs = docs.select(key, text)
+    featured = features(docs, text)
+    cascade = plan_cascade(docs, default_rules(text) if rules is None else rules, text, sample_rows)
     return featured.select(
         key,
         *(F.col(f"q_{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
@@ -150,5 +151,7 @@ def judge(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "tex
 def keep_good(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns."""
     featured = features(docs, text)
-    cascade = plan_cascade(featured, default_rules(text) if rules is None else rules, sample_rows)
-    return featured.filter(verdict(cascade).isNull()).select(*docs.columns)
+    cascade = plan_cascade(docs, default_rules(text) if rules is None else rules, text, sample_rows)
+    # A filter isn't moved below a column that depends on the partition; moved, it would repeat every step of the features.
+    held = featured.withColumn("q_part", F.spark_partition_id())
+    return held.filter(verdict(cascade).isNull() & (F.col("q_part") >= 0)).select(*docs.columns)
