@@ -134,19 +134,20 @@ def _judged(docs: DataFrame, benchmark: DataFrame, text: str, key: str, item: st
         rows.doc, rows.tag, "n", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
-CONTAMINATED = (F.col("n_hit") > 0) & (LEAST_SHARE * F.col("n_hit") >= F.col("n"))
+def contaminated() -> Column:
+    return (F.col("n_hit") > 0) & (LEAST_SHARE * F.col("n_hit") >= F.col("n"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", bench_text: str = "text", size: int = WINDOW, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """``key``, n_words, n_hit, n_items, items_sha256 and contaminated of every row."""
     return _judged(docs, benchmark, text, key, item, bench_text, size, block_terms).select(
         F.col("doc").alias(key), F.col("n").alias("n_words"), "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), CONTAMINATED.alias("contaminated"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"),
     )
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id", bench_text: str = "text", size: int = WINDOW, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """The rows that aren't contaminated, with all their columns."""
     judged = _judged(docs, benchmark, text, key, item, bench_text, size, block_terms)
-    gone = judged.filter(CONTAMINATED).select(F.col("doc").alias("decon__doc"), F.col("tag").alias("decon__tag")).distinct()
+    gone = judged.filter(contaminated()).select(F.col("doc").alias("decon__doc"), F.col("tag").alias("decon__tag")).distinct()
     return docs.join(gone, docs[key].eqNullSafe(gone.decon__doc) & (F.xxhash64(docs[text]) == gone.decon__tag), "left_anti")

@@ -56,7 +56,8 @@ def default_rules(text: str = "text") -> tuple[Rule, ...]:
     )
 
 
-BASE_FAILED = (F.col("q_n_words") < MIN_WORDS) | (100 * F.col("q_n_repeat_words") > MAX_REPEAT_PCT * F.col("q_n_words"))
+def base_failed() -> Column:
+    return (F.col("q_n_words") < MIN_WORDS) | (100 * F.col("q_n_repeat_words") > MAX_REPEAT_PCT * F.col("q_n_words"))
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -129,7 +130,7 @@ def plan_cascade(docs: DataFrame, rules: Sequence[Rule], text: str = "text", sam
 
 def verdict(cascade: Sequence[Rule]) -> Column:
     """The first rule that rejects, null if none does; later rules of a rejected row aren't evaluated."""
-    out = F.when(BASE_FAILED, "base")
+    out = F.when(base_failed(), "base")
     for rule in cascade:
         out = out.when(rule.reject, rule.name)
     return out
@@ -143,7 +144,7 @@ def judge(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "tex
     return featured.select(
         key,
         *(F.col(f"q_{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
-        BASE_FAILED.alias("base_failed"),
+        base_failed().alias("base_failed"),
         verdict(cascade).isNull().alias("kept"),
     )
 
