@@ -7,11 +7,12 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from knockwork.functions.columns import finite, ratio
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided(z):
     return z.map(lambda x: math.erfc(abs(x) / math.sqrt(2.0)), na_action="ignore").astype(float)
 
