@@ -89,7 +89,7 @@ def index(docs: DataFrame, terms: DataFrame, scratch: Scratch, reach: int = WIND
     """
     n = F.expr("size(ws) - int(ws[0] = '') - int(size(ws) > 1 and element_at(ws, -1) = '')").cast("long")
     ended = docs.select("doc", "tag", n.alias("n"), F.array_append("ws", F.lit(LAST)).alias("ws"))
-    last = docs.sparkSession.createDataFrame([(LAST,)], "term string")
+    last = docs.sparkSession.range(1).select(F.lit(LAST).alias("term"))
     around = F.when(F.col("term") != LAST, F.expr(f"slice(ws, greatest(pos - {reach}, 0) + 1, {2 * reach + 1})"))
     out = None
     for block in _blocks(terms, block_terms) or [terms]:

@@ -35,7 +35,7 @@ class Scratch:
         self.n += 1
         path = f"{self.root}/{self.n:02d}-{name}"
         with self._clean_up():
-            df.write.parquet(path)
+            df.write.option("compression", "zstd").parquet(path)  # its buffers are on the heap, which the collector sees
         return self.spark.read.schema(df.schema).parquet(path)
 
     @contextlib.contextmanager
