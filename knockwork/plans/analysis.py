@@ -36,7 +36,7 @@ def perturbation_scores(screen: Screen, cfg: ScreenConfig, targets: list[str], s
     for group in groups:
         cells = foldchange.with_stratum(screen.cells.filter(F.col("target").isin([*group, cfg.control])), cfg.split_by)
         counts = screen.counts.join(cells.select("cell_id"), "cell_id", "left_semi")
-        expr, embedding = expression.embed(counts, cells, cfg.variable_features, max(cfg.min_npcs, cfg.ndims))
+        expr, embedding = _held(*expression.embed(counts, cells, cfg.variable_features, max(cfg.min_npcs, cfg.ndims)))
         if cfg.guide_col and cfg.guide_col in cells.columns:
             genes = _genes_by_guide(expr, cells, cfg, group, screen.genes.count())
         else:
@@ -45,15 +45,20 @@ def perturbation_scores(screen: Screen, cfg: ScreenConfig, targets: list[str], s
         if not genes.take(1):
             log.info("no genes to score %s by", ", ".join(group))
             continue
-        knn = neighbours.knn_controls(cells, embedding, cfg.control, cfg.num_neighbors, cfg.ndims, cfg.split_by, cfg.exclude_self)
+        (knn,) = _held(neighbours.knn_controls(cells, embedding, cfg.control, cfg.num_neighbors, cfg.ndims, cfg.split_by, cfg.exclude_self))
         sign = neighbours.signature(expr, knn, cfg.num_neighbors, genes)
         scores, loo = score.projection_scores(sign, cells, cfg.control, genes)
         kind = cells.select("cell_id", "cell_type")
-        found = Scores(scores.join(kind, "cell_id"), loo.join(kind, "cell_id"), knn if cfg.store_neighbors else None)
+        found = Scores(scores.join(kind, "cell_id").persist(), loo.join(kind, "cell_id").persist(), knn if cfg.store_neighbors else None)
         out = found if out is None else Scores(out.scores.unionByName(found.scores), out.loo.unionByName(found.loo), out.knn.unionByName(found.knn) if cfg.store_neighbors else None)
     return out
 
 
+def _held(*frames: DataFrame) -> tuple[DataFrame, ...]:
+    """Kept for the steps that read them more than once; Spark makes what is lost again."""
+    return tuple(f.persist() for f in frames)
+
+
 def _genes_by_guide(expr: DataFrame, cells: DataFrame, cfg: ScreenConfig, targets: list[str], n_genes: int) -> DataFrame:
     """Genes that pass for any guide of a target, the smallest p of them first."""
     named = cells.withColumn("guide__", F.when(F.col("target") == cfg.control, F.lit(cfg.control)).otherwise(F.concat_ws("\t", "target", F.coalesce(F.col(cfg.guide_col), F.lit("")))))
