@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import tempfile
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -36,27 +37,31 @@ def perturbation_scores(screen: Screen, cfg: ScreenConfig, targets: list[str], s
     for group in groups:
         cells = foldchange.with_stratum(screen.cells.filter(F.col("target").isin([*group, cfg.control])), cfg.split_by)
         counts = screen.counts.join(cells.select("cell_id"), "cell_id", "left_semi")
-        expr, embedding = _held(*expression.embed(counts, cells, cfg.variable_features, max(cfg.min_npcs, cfg.ndims)))
+        cells, counts = _held(cells), _held(counts)
+        expr, embedding = map(_held, expression.embed(counts, cells, cfg.variable_features, max(cfg.min_npcs, cfg.ndims)))
         if cfg.guide_col and cfg.guide_col in cells.columns:
             genes = _genes_by_guide(expr, cells, cfg, group, screen.genes.count())
         else:
             genes = score.score_genes(score.rank_sum(expr, cells, cfg.control, group), screen.genes.count(), cfg.logfc_threshold, cfg.min_de_genes, cfg.max_de_genes)
-        genes = genes.persist()
+        genes = _held(genes)
         if not genes.take(1):
             log.info("no genes to score %s by", ", ".join(group))
             continue
-        (knn,) = _held(neighbours.knn_controls(cells, embedding, cfg.control, cfg.num_neighbors, cfg.ndims, cfg.split_by, cfg.exclude_self))
-        sign = neighbours.signature(expr, knn, cfg.num_neighbors, genes)
+        knn = _held(neighbours.knn_controls(cells, embedding, cfg.control, cfg.num_neighbors, cfg.ndims, cfg.split_by, cfg.exclude_self))
+        sign = _held(neighbours.signature(expr, knn, cfg.num_neighbors, genes))
         scores, loo = score.projection_scores(sign, cells, cfg.control, genes)
         kind = cells.select("cell_id", "cell_type")
-        found = Scores(scores.join(kind, "cell_id").persist(), loo.join(kind, "cell_id").persist(), knn if cfg.store_neighbors else None)
+        found = Scores(_held(scores.join(kind, "cell_id")), _held(loo.join(kind, "cell_id")), knn if cfg.store_neighbors else None)
         out = found if out is None else Scores(out.scores.unionByName(found.scores), out.loo.unionByName(found.loo), out.knn.unionByName(found.knn) if cfg.store_neighbors else None)
     return out
 
 
-def _held(*frames: DataFrame) -> tuple[DataFrame, ...]:
-    """Kept for the steps that read them more than once; Spark makes what is lost again."""
-    return tuple(f.persist() for f in frames)
+def _held(frame: DataFrame) -> DataFrame:
+    """Checkpointed for the steps that read it more than once: its plan is cut, which would grow with every step."""
+    context = frame.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="knockwork-"))
+    return frame.checkpoint()
 
 
 def _genes_by_guide(expr: DataFrame, cells: DataFrame, cfg: ScreenConfig, targets: list[str], n_genes: int) -> DataFrame:
@@ -87,22 +92,23 @@ def weighted_de(screen: Screen, cfg: ScreenConfig, scores: Scores | None = None)
     for p in parts[1:]:
         all_weights = all_weights.unionByName(p)
     designs = routing.design(all_weights, cells)
-    designs = designs.join(routing.varying_targets(designs), "target", "left_semi").persist()
+    designs = _held(designs)
+    designs = _held(designs.join(routing.varying_targets(designs), "target", "left_semi"))
     stats = foldchange.gates(foldchange.fold_change_stats(screen.counts, cells, cfg.control, targets, cfg.pseudocount, cfg.base), cfg.logfc_threshold, cfg.min_pct, cfg.min_cells_group)
-    stats = stats.join(designs.select("target").distinct(), "target", "left_semi").persist()
-    de_set = foldchange.de_genes(stats, screen.genes)
+    stats = _held(stats.join(designs.select("target").distinct(), "target", "left_semi"))
+    de_set = _held(foldchange.de_genes(stats, screen.genes))
     loo_weights = None
     if scored:
-        loo_weights = weights.leave_one_out(scores.loo, cfg.control).select("target", "loo_gene", "cell_id", "weight")
+        loo_weights = _held(weights.leave_one_out(scores.loo, cfg.control).select("target", "loo_gene", "cell_id", "weight"))
         weighted = designs.filter(F.col("target").isin(scored))
-        loo = routing.loo_targets(loo_weights, weighted, screen.genes).persist()
+        loo = _held(routing.loo_targets(loo_weights, weighted, screen.genes))
         own = dashed(F.col("target"))
         loo_weights = loo_weights.filter(F.col("loo_gene") != own).unionByName(routing.own_gene_weights(weighted, loo))
         genes = routing.route(de_set, loo)
     else:
         genes = de_set.withColumn("fit_group", F.lit("main"))
     strata = [r[0] for r in cells.filter("cell_type is not null").select("cell_type").distinct().orderBy("cell_type").collect()] if cfg.split_by else [foldchange.STRATUM]
-    fits = glm.fit(screen.counts, designs, genes, loo_weights, strata, cfg.subsample)
+    fits = _held(glm.fit(screen.counts, designs, _held(genes), loo_weights, strata, cfg.subsample))
     names = glm.design_columns(strata)
     at = next(i for i, n in enumerate(names) if n.endswith("weight"))
     methods = screen.cells.sparkSession.createDataFrame([(t, "weighted" if t in scored else "standard") for t in targets], "target string, method string")
@@ -122,10 +128,11 @@ def weighted_de(screen: Screen, cfg: ScreenConfig, scores: Scores | None = None)
 def analyse(screen: Screen, cfg: ScreenConfig, guides: DataFrame | None = None, shared_embedding: bool = False) -> tuple[DataFrame, DataFrame]:
     """(result, cells with their mixscale_score): the whole analysis."""
     ready = prepare(screen, cfg, guides)
+    ready = replace(ready, counts=_held(ready.counts), cells=_held(ready.cells), genes=_held(ready.genes))
     targets = perturbations(ready.cells, cfg.control, cfg.targets)
     scores = perturbation_scores(ready, cfg, targets, shared_embedding)
     cells = ready.cells
     if scores is not None:
         of_cell = scores.scores.filter(F.col("gene") == F.col("target")).select("cell_id", F.col("pvec").alias("mixscale_score"))
         cells = cells.join(of_cell, "cell_id", "left")
-    return weighted_de(replace(ready, cells=ready.cells), cfg, scores), cells
+    return weighted_de(ready, cfg, scores), cells
