@@ -76,6 +76,45 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": r"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+c as (select *, len(ws) as n, length(array_to_string(ws, '')) as chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as symbols,
+  string_split(t, chr(10)) as lines, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as said from d),
+triples as (select rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as k from (select rid, ws, unnest(range(1, n - 1)) as i from c)),
+again as (select rid, i from (select *, count(*) over (partition by rid, k) as times from triples) where times > 1),
+covered as (select rid, count(distinct p) as n_repeat from (select rid, unnest([i, i + 1, i + 2]) as p from again) group by 1),
+f as (select c.*, coalesce(n_repeat, 0) as n_repeat, len(said) - len(list_distinct(said)) as dup, n < 50 or 100 * coalesce(n_repeat, 0) > 50 * n as failed from c left join covered using (rid))
+select doc_id, n::bigint as n_words, chars::bigint as word_chars, symbols::bigint as n_symbols, dup::bigint as n_dup_lines, n_repeat::bigint as n_repeat_words, failed as base_failed,
+  not (failed or symbols > n or chars < 2 * n or chars > 20 * n or list_max(list_transform(ws, lambda x: length(x))) > 2000
+    or 2 * length(regexp_replace(t, '[^\p{L}]', '', 'g')) < chars or 2 * dup > len(lines)
+    or 2 * len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)$'))) > len(lines)
+    or 10 * len(list_filter(lines, lambda x: regexp_matches(x, '^[ \t]*[-*•]'))) > 9 * len(lines)
+    or (n >= 200 and 20 * len(list_distinct(ws)) < n)) as kept
+from f
+""",
+    "op3_decontamination": r"""
+with b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+w as (select distinct item_id, array_to_string(ws[i : i + 12], ' ') as k, least(13, len(ws)) as size from (select item_id, ws, unnest(range(1, greatest(len(ws) - 11, 2))) as i from b where len(ws) > 0)),
+d as (select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+p as (select rid, i, size, array_to_string(ws[i : i + size - 1], ' ') as k from (select rid, ws, size, unnest(range(1, len(ws) - size + 2)) as i from d, (select distinct size from w))),
+m as (select distinct rid, i, size, item_id from p join w using (k, size)),
+h as (select rid, count(distinct pos) as n_hit from (select rid, unnest(range(i, i + size)) as pos from m) group by 1),
+t as (select rid, count(distinct item_id) as n_items, array_to_string(list_sort(list(distinct item_id::varchar)), ',') as items from m group by 1)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
+from d left join h using (rid) left join t using (rid)
+""",
+    "op6_substring_dedup": r"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+p as (select rid, doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) as k from (select rid, doc_id, ws, unnest(range(1, len(ws) - 48)) as i from d)),
+r as (select rid, i from (select *, min(doc_id) over (partition by k) as least_id from p) where doc_id > least_id),
+gone as (select distinct rid, unnest(range(i, i + 50)) as pos from r),
+words as (select rid, unnest(range(1, len(ws) + 1)) as pos, unnest(ws) as word from d),
+kept as (select rid, string_agg(word, ' ' order by pos) as said from words anti join gone using (rid, pos) group by 1),
+n as (select rid, count(*) as n_removed from gone group by 1)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(said, '')) as kept_sha256
+from d left join kept using (rid) left join n using (rid)
+""",
     "op8_warc_fixity": r"""
 with written as (
   select distinct page_id, floor(page_id / 1024.0)::bigint as segment,
