@@ -125,14 +125,14 @@ def weighted_de(screen: Screen, cfg: ScreenConfig, scores: Scores | None = None)
     return routing.result(flat, changes, methods, cfg.bh_universe)
 
 
-def analyse(screen: Screen, cfg: ScreenConfig, guides: DataFrame | None = None, shared_embedding: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(result, cells with their mixscale_score): the whole analysis."""
+def analyse(screen: Screen, cfg: ScreenConfig, guides: DataFrame | None = None, shared_embedding: bool = False, score_col: str = "perturbation_score") -> tuple[DataFrame, DataFrame]:
+    """(result, cells with their score, null for cells without one): the whole analysis."""
     ready = prepare(screen, cfg, guides)
     ready = replace(ready, counts=_held(ready.counts), cells=_held(ready.cells), genes=_held(ready.genes))
     targets = perturbations(ready.cells, cfg.control, cfg.targets)
     scores = perturbation_scores(ready, cfg, targets, shared_embedding)
     cells = ready.cells
     if scores is not None:
-        of_cell = scores.scores.filter(F.col("gene") == F.col("target")).select("cell_id", F.col("pvec").alias("mixscale_score"))
+        of_cell = scores.scores.filter(F.col("gene") == F.col("target")).select("cell_id", F.col("pvec").alias(score_col))
         cells = cells.join(of_cell, "cell_id", "left")
     return weighted_de(ready, cfg, scores), cells

@@ -169,7 +169,7 @@ def test_analysis_finds_what_was_planted(spark):
     assert all(0 <= r.p_weight <= r.p_adj_bh <= 1 for r in rows.values() if r.p_weight is not None)
     assert min(r.log2FC for r in planted) > 1 > max(r.log2FC for r in others)
     assert rows["T-x"].p_weight < 1e-4 and rows["T-x"].p_weight < min(r.p_weight for r in others)
-    assert {c.target for c in cells.filter("mixscale_score is not null").collect()} == {"T_x"}
+    assert {c.target for c in cells.filter("perturbation_score is not null").collect()} == {"T_x"}
 
 
 def test_analysis_without_scores_is_binary(spark):
