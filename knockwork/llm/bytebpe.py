@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
