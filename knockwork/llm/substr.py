@@ -38,7 +38,7 @@ WINDOW = 50
 #: Entries that a task holds at once on the far side of a shuffle.
 BUCKET_ENTRIES = 1 << 21
 #: Bytes of an anchor's hash that are sent, besides those its bucket tells.
-ANCHOR_BYTES = 5
+ANCHOR_BYTES = 4
 #: Bytes of text whose windows are collapsed at once.
 BLOCK = 4 << 20
 
