@@ -1,9 +1,11 @@
 """Main text of web pages through wrappers: union-free regular expressions inferred for each host.
 
 A page is a stream of tags and texts. Runs that repeat are folded into repeated groups;
-two streams of a host are aligned, what only one of them has becomes an optional group, and
-texts that differ become slots. A wrapper is what remains when all pages of a host have been
-aligned: its texts that never vary are the host's furniture. Partial wrappers are inferred
+two streams of a host are aligned by a longest common subsequence, what only one of them has
+becomes an optional group, and texts that differ become slots. A wrapper is what remains when
+all pages of a host have been aligned: its texts that never vary are the host's furniture.
+Optional groups are never furniture, so neighbouring ones are kept as one gap; a wrapper is at
+most about twice as long as the shortest page of its host. Partial wrappers are inferred
 where pages are read, merged in salted groups and then for each host, so a host of any
 number of pages costs no task more than the wrappers of a share of the partitions.
 
@@ -22,7 +24,7 @@ import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from difflib import SequenceMatcher
+from math import isqrt
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,10 +34,12 @@ from knockwork.llm.scratch import Scratch
 
 #: Pages of a host, of different texts, before what never varies counts as furniture.
 LEAST_PAGES = 4
-#: Tokens of a repeated group, nodes of a wrapper and characters of a text that it remembers.
-PERIOD, MOST_NODES, REMEMBERED = 12, 2000, 200
-#: Wrappers that a task holds before it hands them on; parts in which a host's wrappers are merged first.
-HOSTS, SALTS = 2000, 32
+#: Tokens of a repeated group and characters of a text that a wrapper remembers.
+PERIOD, REMEMBERED = 12, 200
+#: Wrappers and nodes that a task holds before it hands them on; parts in which a host's wrappers are merged first.
+HOSTS, NODES, SALTS = 2000, 1 << 18, 32
+#: Nodes of pages whose places in a wrapper are remembered.
+KNOWN = 1 << 14
 #: Bytes of wrappers that are broadcast; more are joined by host, where Spark splits a large one.
 BROADCAST_BYTES = 16 << 20
 
@@ -97,7 +101,7 @@ def tokens(source: str) -> Page:
 
 @dataclass
 class Node:
-    """A token or a repeated group; ``slots`` hold the places of its texts (in a page) or what they said (in a wrapper, None once they differ)."""
+    """A token, a repeated group or (``sign`` None) a gap of optional ones; ``slots`` hold the places of its texts (in a page) or what they said (in a wrapper, None once they differ)."""
 
     sign: object
     slots: list
@@ -151,6 +155,46 @@ def nodes_of(page: Page) -> list[Node]:
     return fold(out)
 
 
+def common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places (in a, in b) of a longest common subsequence.
+
+    A row of its table is the bits of one number; every few rows are kept, those between are made again on the way back.
+    """
+    low, high, end = 0, min(len(a), len(b)), 0
+    while low < high and a[low] == b[low]:
+        low += 1
+    while end < high - low and a[-1 - end] == b[-1 - end]:
+        end += 1
+    n, m = len(a) - low - end, len(b) - low - end
+    where: dict = {}
+    for j in range(m):
+        where[b[low + j]] = where.get(b[low + j], 0) | 1 << j
+    full, step = (1 << m) - 1, isqrt(n) + 1
+
+    def rows(begin: int, row: int) -> list[int]:
+        """Bit j of row i is 0 where one more of a[:i] is found in b[: j + 1] than in b[:j]."""
+        out = [row]
+        for sign in a[low + begin : low + min(n, begin + step)]:
+            met = row & where.get(sign, 0)
+            row = (row + met | row - met) & full
+            out.append(row)
+        return out
+
+    middle, kept = [], [full]
+    for begin in range(0, n if m else 0, step):
+        kept.append(rows(begin, kept[-1])[-1])
+    j = m
+    for begin in reversed(range(0, n if m else 0, step)):
+        table = rows(begin, kept[begin // step])
+        for i in reversed(range(len(table) - 1)):
+            below = (1 << j) - 1
+            found = ~table[i + 1] & below
+            if found.bit_count() > (~table[i] & below).bit_count():
+                j = found.bit_length() - 1
+                middle.append((low + begin + i, low + j))
+    return [(i, i) for i in range(low)] + middle[::-1] + [(len(a) - i, len(b) - i) for i in range(end, 0, -1)]
+
+
 @dataclass
 class Wrapper:
     """Nodes of a host's pages, how many pages they come from and one page's hash, None once pages differ."""
@@ -158,45 +202,53 @@ class Wrapper:
     nodes: list[Node]
     pages: int = 1
     known: dict = field(default_factory=dict, repr=False)
+    held: int = 0
 
     def places(self, signs: tuple) -> list[int | None]:
         """For each sign of a page, the node that it is; None for what the wrapper lacks."""
         if signs not in self.known:
-            if len(self.known) > 200:
-                self.known.clear()
+            if self.held > KNOWN:
+                self._forget()
             out: list[int | None] = [None] * len(signs)
-            for a, b, n in SequenceMatcher(None, [x.sign for x in self.nodes], signs, autojunk=False).get_matching_blocks():
-                out[b : b + n] = range(a, a + n)
+            for a, b in common([x.sign for x in self.nodes], signs):
+                out[b] = a
             self.known[signs] = out
+            self.held += len(signs)
         return self.known[signs]
 
+    def _forget(self) -> None:
+        self.known.clear()
+        self.held = 0
+
     def take(self, nodes: list[Node], pages: int) -> None:
         """Align other nodes (slots hold what was said) with these."""
         self.pages += pages
-        places = self.places(tuple(x.sign for x in nodes))
-        if None not in places and len(places) == len(self.nodes):
-            for x, y in zip(self.nodes, nodes, strict=True):
-                if x.slots:
-                    x.slots = [_joined(a, b) for a, b in zip(x.slots, y.slots, strict=True)]
-                x.optional |= y.optional
-            return
-        merged, at = [], 0
-        for y, place in zip(nodes, places, strict=True):
+        places = iter(self.places(tuple(x.sign for x in nodes if x.sign is not None)))
+        merged, at, left = [], 0, []  # left: nodes of either side since the last that both have
+        for y in nodes:
+            place = None if y.sign is None else next(places)
             if place is None:
-                merged.append(Node(y.sign, y.slots, True))
+                left.append(y)
                 continue
-            merged += [Node(x.sign, x.slots, True) for x in self.nodes[at:place]]
+            left += self.nodes[at:place]
             x = self.nodes[place]
-            merged.append(Node(x.sign, [_joined(a, b) for a, b in zip(x.slots, y.slots, strict=True)], x.optional or y.optional))
-            at = place + 1
-        merged += [Node(x.sign, x.slots, True) for x in self.nodes[at:]]
-        self.nodes = fold(merged)[:MOST_NODES]
-        self.known.clear()
+            merged += _gap(left)
+            merged.append(Node(x.sign, [_joined(a, b) for a, b in zip(x.slots, y.slots, strict=True)]))
+            at, left = place + 1, []
+        merged += _gap(left + self.nodes[at:])
+        if [x.sign for x in merged] != [x.sign for x in self.nodes]:
+            self._forget()
+        self.nodes = merged
 
     def plain(self) -> bytes:
         return pickle.dumps((self.pages, [(x.sign, x.slots, x.optional) for x in self.nodes]))
 
 
+def _gap(nodes: list[Node]) -> list[Node]:
+    """What stands for optional nodes; it has a slot if any of them has."""
+    return [Node(None, [None] if any(x.slots for x in nodes) else [], True)] if nodes else []
+
+
 def opened(data: bytes) -> Wrapper:
     pages, nodes = pickle.loads(data)
     return Wrapper([Node(*x) for x in nodes], pages)
@@ -291,19 +343,21 @@ def infer(pages: DataFrame, scratch: Scratch, source: str = "html", url: str = "
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Wrapper] = {}
+        held = 0
         for n, batch in enumerate(batches):
             salt = n
             for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 page = tokens(text)
-                nodes = said(page, nodes_of(page))[:MOST_NODES]
+                nodes = said(page, nodes_of(page))
                 if host in found:
                     found[host].take(nodes, 1)
                 else:
                     found[host] = Wrapper(nodes)
+                    held += len(nodes)
                 salt = (salt * 31 + len(text)) % SALTS
-                if len(found) >= HOSTS:
+                if len(found) >= HOSTS or held >= NODES:
                     yield _flush(found, salt)
-                    found = {}
+                    found, held = {}, 0
         if found:
             yield _flush(found, salt)
 
@@ -327,13 +381,16 @@ def main_text(pages: DataFrame, source: str = "html", url: str = "url", key: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, Wrapper] = {}
+        held = 0
         for batch in batches:
             out = []
             for text, data in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if data is not None and data not in known:
-                    if len(known) > HOSTS:
+                    if len(known) > HOSTS or held > NODES:
                         known.clear()
+                        held = 0
                     known[data] = opened(data)
+                    held += len(known[data].nodes)
                 out.append(extract(tokens(text), known.get(data)) if text else "")
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["k", "u", "text"])
 

@@ -72,6 +72,44 @@ def test_wrapper_learns_furniture():
     assert any(x.optional for x in wrapper.nodes) and wrapper.pages == 6
 
 
+def wrapped(sources):
+    """Pages and the wrapper that their inference gives."""
+    pages = [htmlwrap.tokens(s) for s in sources]
+    wrapper = htmlwrap.Wrapper(htmlwrap.said(pages[0], htmlwrap.nodes_of(pages[0])))
+    for p in pages[1:]:
+        wrapper.take(htmlwrap.said(p, htmlwrap.nodes_of(p)), 1)
+    return pages, wrapper
+
+
+def test_wrapper_holds_all_nodes_of_long_pages_and_many_templates():
+    def odd(i, n):  # boxes that don't repeat
+        return "".join(f"<x{i}-{k}>filler {i} {k}</x{i}-{k}><div>" + "<p>a</p><ul></ul>" * (k % 3) + "</div>" for k in range(n))
+
+    for sources in (
+        [f"<body>{odd(0, 900)}<div>story {i}</div><section>end line</section></body>" for i in range(5)],
+        [f"<body>{odd(i, 300)}<div>story {i}</div><section>end line</section></body>" for i in range(12)],
+    ):
+        for order in (sources, sources[::-1]):
+            pages, wrapper = wrapped(order)
+            assert all("story" in t and "end line" not in t for t in (htmlwrap.extract(p, wrapper) for p in pages))
+    assert len(wrapper.nodes) < 2 * len(htmlwrap.nodes_of(pages[0]))
+
+
+def test_longest_common_subsequence():
+    rng = random.Random(4)
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(30))] for _ in range(2))
+        best = [[0] * (len(b) + 1)]
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(best[-1][j] + 1 if x == y else max(row[-1], best[-1][j + 1]))
+            best.append(row)
+        got = htmlwrap.common(a, b)
+        assert len(got) == best[-1][-1] and all(a[i] == b[j] for i, j in got)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
 def test_archive_audit(spark):
     pages = spark.createDataFrame([(i, f"http://x/{i}", f"<p>{i}</p>") for i in range(200)] + [(500, None, None), (7, "http://x/7", "<p>7</p>")], "page_id long, url string, html string")
     other = pages.withColumn("html", F.when(F.col("page_id").isin(3, 150), F.lit("<p>x</p>")).otherwise(F.col("html"))).withColumn("html", F.when(F.col("page_id") == 3, F.lit("<p>y</p>")).otherwise(F.col("html")))
