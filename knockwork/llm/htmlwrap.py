@@ -24,6 +24,7 @@ import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 from math import isqrt
 
 import pyarrow as pa
@@ -34,8 +35,8 @@ from knockwork.llm.scratch import Scratch
 
 #: Pages of a host, of different texts, before what never varies counts as furniture.
 LEAST_PAGES = 4
-#: Tokens of a repeated group and characters of a text that a wrapper remembers.
-PERIOD, REMEMBERED = 12, 200
+#: Tokens of a repeated group and bytes of the hash by which a wrapper remembers a text.
+PERIOD, REMEMBERED = 12, 16
 #: Wrappers and nodes that a task holds before it hands them on; parts in which a host's wrappers are merged first.
 HOSTS, NODES, SALTS = 2000, 1 << 18, 32
 #: Nodes of pages whose places in a wrapper are remembered.
@@ -254,14 +255,18 @@ def opened(data: bytes) -> Wrapper:
     return Wrapper([Node(*x) for x in nodes], pages)
 
 
+def _hashed(text: str) -> bytes:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=REMEMBERED).digest()
+
+
 def said(page: Page, nodes: list[Node]) -> list[Node]:
-    """The nodes of a page with what its texts say in place of where they stand."""
+    """The nodes of a page with the hash of what its texts say in place of where they stand."""
     out = []
     for x in nodes:
         slots = []
         for places in x.slots:
-            first = _SPACE.sub(" ", page.texts[places[0]])[:REMEMBERED]
-            slots.append(first if all(_SPACE.sub(" ", page.texts[i])[:REMEMBERED] == first for i in places[1:]) else None)
+            first = _SPACE.sub(" ", page.texts[places[0]])
+            slots.append(_hashed(first) if all(_SPACE.sub(" ", page.texts[i]) == first for i in places[1:]) else None)
         out.append(Node(x.sign, slots, x.optional))
     return out
 

@@ -95,6 +95,15 @@ def test_wrapper_holds_all_nodes_of_long_pages_and_many_templates():
     assert len(wrapper.nodes) < 2 * len(htmlwrap.nodes_of(pages[0]))
 
 
+def test_texts_that_differ_after_a_long_opening():
+    opening = "the same standard opening of every story " * 8
+    sources = [f"<body><div>{opening}story {i}</div><section>end line</section><p>{opening}one {i}</p><p>{opening}two {i}</p></body>" for i in range(6)]
+    pages, wrapper = wrapped(sources)
+    said = " ".join(opening.split())
+    for i, p in enumerate(pages):
+        assert htmlwrap.extract(p, wrapper) == f"{said} story {i} {said} one {i} {said} two {i}"
+
+
 def test_longest_common_subsequence():
     rng = random.Random(4)
     for _ in range(300):
