@@ -3,7 +3,8 @@
 A page is a stream of tags and texts. Runs that repeat are folded into repeated groups;
 two streams of a host are aligned by a longest common subsequence, what only one of them has
 becomes an optional group, and texts that differ become slots. A wrapper is what remains when
-all pages of a host have been aligned: its texts that never vary are the host's furniture.
+all pages of a host have been aligned: its texts that never vary are the host's furniture,
+once pages of four different main texts agree on them; copies of a page count as one.
 Optional groups are never furniture, so neighbouring ones are kept as one gap; a wrapper is at
 most about twice as long as the shortest page of its host. Partial wrappers are inferred
 where pages are read, merged in salted groups and then for each host, so a host of any
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from knockwork.llm.scratch import Scratch
 
-#: Pages of a host, of different texts, before what never varies counts as furniture.
+#: Main texts of a host that differ (as the tag rules alone give them) before what never varies counts as furniture.
 LEAST_PAGES = 4
 #: Tokens of a repeated group and bytes of the hash by which a wrapper remembers a text.
 PERIOD, REMEMBERED = 12, 16
@@ -198,13 +199,21 @@ def common(a: list, b: list) -> list[tuple[int, int]]:
 
 @dataclass
 class Wrapper:
-    """Nodes of a host's pages, how many pages they come from and one page's hash, None once pages differ."""
+    """Nodes of a host's pages, how many rows they come from and hashes of their different main texts, LEAST_PAGES at most.
+
+    Where no main texts are given, what the nodes say stands for them.
+    """
 
     nodes: list[Node]
     pages: int = 1
+    articles: set[bytes] | None = None
     known: dict = field(default_factory=dict, repr=False)
     held: int = 0
 
+    def __post_init__(self) -> None:
+        if self.articles is None:
+            self.articles = _spoken(self.nodes)
+
     def places(self, signs: tuple) -> list[int | None]:
         """For each sign of a page, the node that it is; None for what the wrapper lacks."""
         if signs not in self.known:
@@ -221,9 +230,10 @@ class Wrapper:
         self.known.clear()
         self.held = 0
 
-    def take(self, nodes: list[Node], pages: int) -> None:
+    def take(self, nodes: list[Node], pages: int, articles: set[bytes] | None = None) -> None:
         """Align other nodes (slots hold what was said) with these."""
         self.pages += pages
+        self.articles = set(sorted(self.articles | (_spoken(nodes) if articles is None else articles))[:LEAST_PAGES])
         places = iter(self.places(tuple(x.sign for x in nodes if x.sign is not None)))
         merged, at, left = [], 0, []  # left: nodes of either side since the last that both have
         for y in nodes:
@@ -242,7 +252,7 @@ class Wrapper:
         self.nodes = merged
 
     def plain(self) -> bytes:
-        return pickle.dumps((self.pages, [(x.sign, x.slots, x.optional) for x in self.nodes]))
+        return pickle.dumps((self.pages, sorted(self.articles), [(x.sign, x.slots, x.optional) for x in self.nodes]))
 
 
 def _gap(nodes: list[Node]) -> list[Node]:
@@ -251,14 +261,18 @@ def _gap(nodes: list[Node]) -> list[Node]:
 
 
 def opened(data: bytes) -> Wrapper:
-    pages, nodes = pickle.loads(data)
-    return Wrapper([Node(*x) for x in nodes], pages)
+    pages, articles, nodes = pickle.loads(data)
+    return Wrapper([Node(*x) for x in nodes], pages, set(articles))
 
 
 def _hashed(text: str) -> bytes:
     return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=REMEMBERED).digest()
 
 
+def _spoken(nodes: list[Node]) -> set[bytes]:
+    return {_hashed(repr([x.slots for x in nodes]))}
+
+
 def said(page: Page, nodes: list[Node]) -> list[Node]:
     """The nodes of a page with the hash of what its texts say in place of where they stand."""
     out = []
@@ -288,7 +302,7 @@ def _outside(tag: str, attributes: str, inside_article: bool) -> bool:
 def extract(page: Page, wrapper: Wrapper | None) -> str:
     """The main text: blocks in page order, joined by one space."""
     furniture: set[int] = set()
-    if wrapper is not None and wrapper.pages >= LEAST_PAGES and any(s is None for x in wrapper.nodes for s in x.slots):
+    if wrapper is not None and len(wrapper.articles) >= LEAST_PAGES and any(s is None for x in wrapper.nodes for s in x.slots):
         nodes = nodes_of(page)
         for x, place in zip(nodes, wrapper.places(tuple(x.sign for x in nodes)), strict=True):
             if place is not None and not wrapper.nodes[place].optional:
@@ -334,6 +348,12 @@ def extract(page: Page, wrapper: Wrapper | None) -> str:
     return _SPACE.sub(" ", "".join(parts)).strip()
 
 
+def article_of(page: Page) -> set[bytes]:
+    """The hash of the main text by tag rules; nothing for a page that has none."""
+    text = extract(page, None)
+    return {_hashed(text)} if text else set()
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
@@ -355,9 +375,10 @@ def infer(pages: DataFrame, scratch: Scratch, source: str = "html", url: str = "
                 page = tokens(text)
                 nodes = said(page, nodes_of(page))
                 if host in found:
-                    found[host].take(nodes, 1)
+                    enough = len(found[host].articles) >= LEAST_PAGES
+                    found[host].take(nodes, 1, set() if enough else article_of(page))
                 else:
-                    found[host] = Wrapper(nodes)
+                    found[host] = Wrapper(nodes, 1, article_of(page))
                     held += len(nodes)
                 salt = (salt * 31 + len(text)) % SALTS
                 if len(found) >= HOSTS or held >= NODES:
@@ -371,12 +392,12 @@ def infer(pages: DataFrame, scratch: Scratch, source: str = "html", url: str = "
         whole = opened(parts[0])
         for p in parts[1:]:
             other = opened(p)
-            whole.take(other.nodes, other.pages)
+            whole.take(other.nodes, other.pages, other.articles)
         return table.slice(0, 1).set_column(table.schema.get_field_index("wrapper"), "wrapper", pa.array([whole.plain()], pa.binary()))
 
     kind = "host string, salt long, wrapper binary"
-    distinct = pages.filter(F.length(source) > 0).select(host_of(F.col(url)).alias("host"), F.col(source).alias("t"))
-    first = distinct.mapInArrow(partial, kind)
+    given = pages.filter(F.length(source) > 0).select(host_of(F.col(url)).alias("host"), F.col(source).alias("t"))
+    first = given.mapInArrow(partial, kind)
     return scratch.keep(first.groupBy("host", "salt").applyInArrow(merge, kind).groupBy("host").applyInArrow(merge, kind).select("host", "wrapper"), "wrappers")
 
 

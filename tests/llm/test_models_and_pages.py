@@ -104,6 +104,17 @@ def test_texts_that_differ_after_a_long_opening():
         assert htmlwrap.extract(p, wrapper) == f"{said} story {i} {said} one {i} {said} two {i}"
 
 
+def test_copies_of_a_page_make_no_furniture(spark):
+    copy = "<body><h1>Title</h1><p>first one</p><p>second one</p></body>"
+    near = "<body><div>Only story</div><div class='advert'><b>buy %d</b></div></body>"
+    page = "<body><div>Same line</div><section>story %d</section></body>"
+    rows = [("http://copies/", copy)] * 9 + [("http://near/", near % i) for i in range(9)]
+    rows += [("http://three/", page % (i % 3)) for i in range(9)] + [("http://four/", page % (i % 4)) for i in range(9)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string").repartition(5)
+    got = {(r.url, r.text) for r in htmlwrap.main_text(pages).collect()}
+    assert got == {("http://copies/", "Title first one second one"), ("http://near/", "Only story")} | {("http://three/", f"Same line story {i}") for i in range(3)} | {("http://four/", f"story {i}") for i in range(4)}
+
+
 def test_longest_common_subsequence():
     rng = random.Random(4)
     for _ in range(300):
