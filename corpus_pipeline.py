@@ -20,8 +20,8 @@ def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each group of near-duplicates, that of the smallest id; of null id only where no other is there."""
+    return simhash.one_of_each(docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,19 +74,20 @@ def fingerprints_of(texts: pa.Array) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel().astype(U)
 
 
-def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key`` and fingerprint (a signed long of the same bits) of every row."""
+def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", also: list[str] | None = None) -> DataFrame:
+    """``key``, fingerprint (a signed long of the same bits) and the columns ``also`` (longs) of every row."""
+    also = also or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(1)
             for a, b in blocks(np.array(pa.compute.fill_null(pa.compute.binary_length(column), 0))):
                 found = fingerprints_of(column.slice(a, b - a)).view(np.int64)
-                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(found)], ["k", "fp"])
+                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(found), *(c.slice(a, b - a) for c in batch.columns[2:])], ["k", "fp", *also])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, fp long")
-    return out.select(F.col("k").alias(key), "fp")
+    out = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), *also).mapInArrow(run, ", ".join([f"k {kind}, fp long", *(f"{c} long" for c in also)]))
+    return out.select(F.col("k").alias(key), "fp", *also)
 
 
 def links(distinct: DataFrame, count: int) -> DataFrame:
@@ -139,22 +140,46 @@ def _bucket(variant: np.ndarray, buckets: int) -> np.ndarray:
         return (((variant * U(0x9E3779B97F4A7C15)) >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
 
 
+def _grouped(prints: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """(fp, least, root) of every fingerprint: its smallest ``key`` and the root of its group."""
+    nodes = scratch.keep(prints.groupBy("fp").agg(F.min(key).alias("least")), "nodes")
+    roots = components(scratch.keep(links(nodes, nodes.count()), "links"), scratch)
+    return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, fingerprint (16 hex digits) and component_id (the smallest ``key`` of its group) of every row."""
     scratch = Scratch(docs.sparkSession, "simhash")
     prints = scratch.keep(fingerprints(docs, text, key), "prints")
-    nodes = scratch.keep(prints.groupBy("fp").agg(F.min(key).alias("least")), "nodes")
-    roots = components(scratch.keep(links(nodes, nodes.count()), "links"), scratch)
-    grouped = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    grouped = _grouped(prints, key, scratch)
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = scratch.keep(grouped.join(smallest, "root").select("fp", "component_id"), "groups")
     return prints.join(of_print, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of each group, with all its columns: that of the smallest ``key`` (null is the last), fingerprint and text hash.
+
+    Rows of the same key and text count as one.
+    """
+    scratch = Scratch(docs.sparkSession, "simhash-each")
+    hashed = docs.withColumn("h_", F.xxhash64(text))
+    prints = scratch.keep(fingerprints(hashed, text, key, ["h_"]), "prints")
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("m")
+    chosen = _grouped(prints, key, scratch).groupBy("root").agg(first).select(F.col("m.fp").alias("fp"), F.col("m.least").alias("least"))
+    rows = prints.join(chosen, "fp").filter(F.col(key).eqNullSafe(F.col("least"))).groupBy("fp").agg(F.min(key).alias("k_"), F.min("h_").alias("kept_"), F.count("*").alias("n_rows_"))
+    keys = scratch.keep(rows.select("k_", "kept_", "n_rows_"), "keys")
+    out = hashed.join(keys, (F.col("h_") == F.col("kept_")) & F.col(key).eqNullSafe(F.col("k_")), "left_semi")
+    if keys.filter("n_rows_ > 1").take(1):
+        out = out.dropDuplicates([key, "h_"])
+    return out.select(*docs.columns)
+
+
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row of each group: the one whose ``key`` is the group's smallest, with all its columns.
 
-    Rows that repeat that key count as one. A group whose keys are all null goes.
+    Rows that repeat that key count as one, whatever their texts. A group whose keys are all null goes;
+    ``one_of_each`` keeps a row of every group.
     """
     kept = near_duplicates(docs, text, key).filter(F.col("component_id") == F.col(key))
     keys = Scratch(docs.sparkSession, "simhash-keep").keep(kept.groupBy(key).agg(F.count("*").alias("n_rows_")), "keys")

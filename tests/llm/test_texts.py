@@ -152,6 +152,18 @@ def test_simhash_groups(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({g[2] for g in got if g[2] is not None})
 
 
+def test_one_row_of_every_group_stays(spark):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(500)}" for _ in range(300)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b), (1, c), (1, d), (2, d + " x"), (2, a + " x"), (3, c), (1, c)]
+    prints = {t: simhash.fingerprints_of(pa.array([t]))[0] for _, t in rows}
+    assert all((int(prints[x]) ^ int(prints[x + " x"])).bit_count() <= 3 for x in (a, d))
+    kept = corpus_pipeline.drop_near_duplicates(spark, table(spark, rows), "")
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(None, b), (1, c), (1, d), (2, a + " x")], key=str)
+
+
 def test_balls_meet_every_link(spark):
     rng = random.Random(8)
     prints = {rng.getrandbits(64) for _ in range(40)}
