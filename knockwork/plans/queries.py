@@ -328,7 +328,7 @@ def hvg_top(spark: SparkSession, d: str) -> DataFrame:
 @_query()
 def pca_embedding(spark: SparkSession, d: str) -> DataFrame:
     counts = _counts(spark, d)
-    return expression.embed(counts, sc.library_size(counts, _cells(spark, d)), 100, NDIMS)[1]
+    return expression.embed(counts, sc.library_size(counts, _cells(spark, d)), k=NDIMS)[1]
 
 
 @_query()
@@ -357,7 +357,7 @@ def _screen(spark: SparkSession, d: str) -> sc.Screen:
 
 
 def _config(targets: tuple[str, ...] | None) -> ScreenConfig:
-    return ScreenConfig(control=NT, targets=targets, min_pct=MIN_PCT, min_cells_group=MIN_CELLS, logfc_threshold=LOGFC, variable_features=100)
+    return ScreenConfig(control=NT, targets=targets, min_pct=MIN_PCT, min_cells_group=MIN_CELLS, logfc_threshold=LOGFC)
 
 
 @_query()
@@ -367,4 +367,9 @@ def weighted_de_pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 @_query()
 def weighted_de_all_targets(spark: SparkSession, d: str) -> DataFrame:
+    return analysis.analyse(_screen(spark, d), _config(None))[0]
+
+
+@_query()
+def weighted_de_shared_embedding(spark: SparkSession, d: str) -> DataFrame:
     return analysis.analyse(_screen(spark, d), _config(None), shared_embedding=True)[0]

@@ -213,3 +213,14 @@ def test_variable_genes_and_components(spark):
     assert [r["rank"] for r in sorted(top, key=lambda r: -r.std_variance)] == [1, 2, 3, 4, 5]
     _, pca = expression.embed(ready.counts, ready.cells, 8, 3)
     assert pca.count() == 80 and len(pca.first().embedding) == 3
+
+
+def test_registered_analyses_are_the_production_ones(monkeypatch):
+    from knockwork.plans import queries
+
+    calls = []
+    monkeypatch.setattr(queries, "_screen", lambda spark, d: None)
+    monkeypatch.setattr(analysis, "analyse", lambda screen, cfg, **more: calls.append((cfg.targets, cfg.variable_features, more)) or [None])
+    for name in ("weighted_de_pipeline", "weighted_de_all_targets", "weighted_de_shared_embedding"):
+        queries.QUERIES[name](None, "")
+    assert calls == [((queries.TARGET,), 2000, {}), (None, 2000, {}), (None, 2000, {"shared_embedding": True})]
