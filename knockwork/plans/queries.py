@@ -268,12 +268,13 @@ def rank_sum_test(spark: SparkSession, d: str) -> DataFrame:
     return score.rank_sum(expr, _cells(spark, d), NT, [TARGET]).select("gene_id", F.round("log2fc", 5).alias("log2fc"), F.round("z", 5).alias("z"))
 
 
-def _routes(spark: SparkSession, d: str) -> DataFrame:
+def _routes(spark: SparkSession, d: str, passing: DataFrame | None = None) -> DataFrame:
+    """Fit groups of the passing genes, or of those of odd number."""
     scores, loo = _scores(spark, d)
     w = weights.leave_one_out(loo, "0").select("target", "loo_gene", "cell_id", "weight")
     members = scores.select("target", "cell_id", "gene")
     genes = _genes(spark, d)
-    de = genes.filter("gene_id % 2 = 1").select(F.lit("1").alias("target"), "gene_id")
+    de = (genes.filter("gene_id % 2 = 1") if passing is None else passing).select(F.lit("1").alias("target"), "gene_id")
     targets = routing.loo_targets(w, members, genes.select("gene_id"))
     return routing.route(de, targets.withColumn("loo_gene", F.col("loo_gene").cast("long"))).select("gene_id", "fit_group")
 
@@ -285,6 +286,14 @@ def loo_routing(spark: SparkSession, d: str) -> DataFrame:
     return _routes(spark, d)
 
 
+@_query(f"""with ok as (select g from ({_weight_sql(LOO, 'loo_gene')} select loo_gene g from s group by 1 having bool_or(weight > 0) and bool_or(weight = 0) union select 1)),
+de as (select gene_id from ({_fc_sql()} select gene_id from f where abs(fc) >= {LOGFC} and pass_pct and pass_cell))
+select gene_id, 'main' fit_group from de where gene_id not in (select g from ok)
+union all select g gene_id, cast(g as varchar) fit_group from ok where g in (select p_partkey from part)""")
+def loo_routing_de_set(spark: SparkSession, d: str) -> DataFrame:
+    return _routes(spark, d, de_gene_set(spark, d))
+
+
 P = f"{_fc_sql()}, p as (select gene_id, case when gene_id % 17 <> 0 then round(exp(-abs(round(fc, 6))), 3) end p from f)"
 BH = f"""{P}, r as (select gene_id, p, row_number() over (order by p desc, gene_id) i, count(p) over () m from p where p is not null),
 q as (select gene_id, p, least(1.0, min(p * m / (m - i + 1)) over (order by i rows between unbounded preceding and current row)) q from r)"""

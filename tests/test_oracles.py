@@ -48,3 +48,9 @@ def test_entry_has_rows(spark):
 def test_every_query_is_registered():
     assert set(plans.QUERIES) <= set(entry.queries())
     assert set(plans.ORACLE_SQL) <= set(entry.oracle_sql())
+
+
+def test_routing_holds_the_whole_de_set(spark):
+    routed = {r.gene_id for r in plans.QUERIES["loo_routing_de_set"](spark, D).collect()}
+    passing = {r.gene_id for r in plans.QUERIES["de_gene_set"](spark, D).collect()}
+    assert passing <= routed and any(g % 2 == 0 for g in passing)
