@@ -158,6 +158,13 @@ def simulated(spark, effect=1.2, cells=80, genes=12):
     return Screen(counts, table, names)
 
 
+@pytest.mark.parametrize("m", [11, 12, 49, 10_000])
+def test_no_adjusted_p_is_below_its_p(spark, m):
+    rng = np.random.default_rng(m)
+    frame = spark.createDataFrame([(t, i, float(x)) for t in range(5) for i, x in enumerate(rng.uniform(0.7, 1, m))], "target_gene int, gene_id int, p_weight double")
+    assert bh_adjust(frame).filter("p_adj_bh < p_weight or p_adj_bh > 1").count() == 0
+
+
 def test_analysis_finds_what_was_planted(spark):
     screen = simulated(spark)
     cfg = ScreenConfig(control="N", targets=("T_x",), ndims=3, num_neighbors=5, variable_features=8, min_npcs=3)
