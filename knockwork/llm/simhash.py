@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwork.llm.components import components
-from knockwork.llm.scratch import Scratch
+from knockwork.llm.scratch import Scratch, by_bucket
+from knockwork.llm.sieve import Sieve, free
 from knockwork.llm.textscan import U, blocks, scan, xxh64
 
 #: Fixed values of the contract.
@@ -132,7 +133,7 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
 
     tasks = max(1, count * per_print // (4 * BUCKET_VARIANTS))
     emitted = distinct.select("fp").repartition(tasks, "fp").mapInArrow(emit, "bucket long, variants binary, masks binary")
-    return emitted.groupBy("bucket").applyInArrow(meet, "a long, b long")
+    return by_bucket(emitted, buckets).groupBy("bucket").applyInArrow(meet, "a long, b long")
 
 
 def _bucket(variant: np.ndarray, buckets: int) -> np.ndarray:
@@ -143,7 +144,9 @@ def _bucket(variant: np.ndarray, buckets: int) -> np.ndarray:
 def _grouped(prints: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(fp, least, root) of every fingerprint: its smallest ``key`` and the root of its group."""
     nodes = scratch.keep(prints.groupBy("fp").agg(F.min(key).alias("least")), "nodes")
-    roots = components(scratch.keep(links(nodes, nodes.count()), "links"), scratch)
+    found = scratch.keep(links(nodes, nodes.count()), "links")
+    roots = components(found, scratch)
+    scratch.drop(found)
     return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
@@ -160,29 +163,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row of each group, with all its columns: that of the smallest ``key`` (null is the last), fingerprint and text hash.
 
-    Rows of the same key and text count as one.
+    Rows of the same key and text count as one. A row is named by its key and the hash of its
+    text; only rows that a sieve of the names that go lets through are moved.
     """
     scratch = Scratch(docs.sparkSession, "simhash-each")
-    hashed = docs.withColumn("h_", F.xxhash64(text))
-    prints = scratch.keep(fingerprints(hashed, text, key, ["h_"]), "prints")
+    name = free("simhash_name", docs.columns)
+    prints = scratch.keep(fingerprints(docs.withColumn(name, F.xxhash64(text)), text, key, [name]).withColumnsRenamed({name: "h", key: "k"}), "prints")
+    grouped = _grouped(prints, "k", scratch)
     first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("m")
-    chosen = _grouped(prints, key, scratch).groupBy("root").agg(first).select(F.col("m.fp").alias("fp"), F.col("m.least").alias("least"))
-    rows = prints.join(chosen, "fp").filter(F.col(key).eqNullSafe(F.col("least"))).groupBy("fp").agg(F.min(key).alias("k_"), F.min("h_").alias("kept_"), F.count("*").alias("n_rows_"))
-    keys = scratch.keep(rows.select("k_", "kept_", "n_rows_"), "keys")
-    out = hashed.join(keys, (F.col("h_") == F.col("kept_")) & F.col(key).eqNullSafe(F.col("k_")), "left_semi")
-    if keys.filter("n_rows_ > 1").take(1):
-        out = out.dropDuplicates([key, "h_"])
-    return out.select(*docs.columns)
-
-
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each group: the one whose ``key`` is the group's smallest, with all its columns.
-
-    Rows that repeat that key count as one, whatever their texts. A group whose keys are all null goes;
-    ``one_of_each`` keeps a row of every group.
-    """
-    kept = near_duplicates(docs, text, key).filter(F.col("component_id") == F.col(key))
-    keys = Scratch(docs.sparkSession, "simhash-keep").keep(kept.groupBy(key).agg(F.count("*").alias("n_rows_")), "keys")
-    out = docs.join(keys.select(key), key, "left_semi").select(*docs.columns)
-    repeated = keys.filter("n_rows_ > 1")
-    return out.dropDuplicates([key]) if repeated.take(1) else out
+    chosen = grouped.groupBy("root").agg(first).select(F.col("m.fp").alias("fp_"), F.col("m.least").alias("k_"))
+    rows = scratch.keep(prints.groupBy("k", "h", "fp").agg(F.count("*").alias("copies")), "rows")
+    ours = rows.join(chosen, F.col("k").eqNullSafe(F.col("k_")) & (F.col("fp") == F.col("fp_")))
+    stays = ours.groupBy("fp").agg(F.min("h").alias("h_"), F.first("k").alias("k_")).select("h_", "k_", F.lit(True).alias("s_"))
+    judged = rows.join(stays, F.col("k").eqNullSafe(F.col("k_")) & (F.col("h") == F.col("h_")), "left").select("k", "h", "copies", F.coalesce("s_", F.lit(False)).alias("stays"))
+    changed = scratch.keep(judged.filter("not stays or copies > 1").select(F.col("k").alias("k_"), F.col("h").alias("h_"), F.col("stays").alias("s_")), "changed")
+    scratch.drop(prints, rows)
+    maybe, out = Sieve(changed, F.xxhash64("k_", "h_"), scratch).split(docs, F.xxhash64(F.col(key), F.xxhash64(text)))
+    columns = [f"c{i}" for i in range(len(docs.columns))]  # no clash with the names above
+    k, t = (F.col(columns[docs.columns.index(c)]) for c in (key, text))
+    maybe = maybe.toDF(*columns).withColumn("n_", F.xxhash64(t))
+    told = maybe.join(changed, k.eqNullSafe(F.col("k_")) & (F.col("n_") == F.col("h_")), "left")
+    out = out.unionByName(told.filter("s_ is null").select(*columns).toDF(*docs.columns))
+    if changed.filter("s_").take(1):
+        out = out.unionByName(told.filter("s_").dropDuplicates([columns[docs.columns.index(key)], "n_"]).select(*columns).toDF(*docs.columns))
+    return out

@@ -8,10 +8,14 @@ documents, and runs of windows that repeat are the maximal exact repeats.
 
 What very many documents share is collapsed where it is read: a block of rows sends one
 entry for a run of words that several of its documents hold, and decides for them itself.
-Entries are packed into one row for each bucket of hashes. Hashes of anchors only choose
-candidates; windows are compared by 96 bits.
-
-A null text has no words; texts of fewer than ``window`` words lose none. Rows whose key
+Entries are packed into one row for each bucket of hashes. Texts stay where they lie, but
+for those a sieve of the documents with hits, then of those with repeats, lets through; they
+travel compressed. Hashes of anchors only choose candidates; windows are compared by 96
+bits, so among n windows that differ some two are taken for equal with a chance below
+n * n / 2 ** 97 (0.003 for the 2e13 words of 100 TB).
+
+A null text has no words; texts of fewer than ``window`` words lose none. Keys are whole
+numbers (others are refused). Rows whose key
 is null lose none and make no other row lose any. Repeated rows get the same result each;
 rows that share a key but not a text are separate documents, neither of which is the
 smaller. An empty table gives an empty result. Extra columns stay in ``remove_repeats``,
@@ -26,10 +30,13 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from knockwork.llm.scratch import Scratch
+from knockwork.llm.scratch import Scratch, by_bucket
+from knockwork.llm.sieve import Sieve, free
 from knockwork.llm.textscan import U, Words, blocks, rolling, scan, xxh64
 
 #: Fixed value of the contract: words of a window.
@@ -40,7 +47,7 @@ BUCKET_ENTRIES = 1 << 21
 #: Bytes of an anchor's hash that are sent, besides those its bucket tells.
 ANCHOR_BYTES = 4
 #: Bytes of text whose windows are collapsed at once.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 _BASE, _BASE2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _SENT = "bucket long, hashes binary, docs binary, tags binary, places binary"
@@ -146,12 +153,39 @@ def _windows(words: Words, n: int) -> np.ndarray:
     return np.flatnonzero(left >= n)
 
 
+def _packed(rows: DataFrame, columns: str) -> DataFrame:
+    """(columns, z): the text, last of the columns of ``rows``, compressed; null stays null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            z = [None if t is None else squeeze(t) for t in batch.columns[-1].cast(pa.large_binary()).to_pylist()]
+            yield pa.record_batch([*batch.columns[:-1], pa.array(z, pa.binary())], [*(c.split()[0] for c in columns.split(", ")), "z"])
+
+    return rows.mapInArrow(run, f"{columns}, z binary")
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    widen = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if z is None else widen(z) for z in column.to_pylist()], pa.large_binary()).cast(pa.large_string())
+
+
+def _opened(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about BLOCK bytes whose column ``at`` is text again."""
+    for batch in batches:
+        for a, b in blocks(np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0)), BLOCK // 4):
+            part = batch.slice(a, b - a)
+            yield part.set_column(at, "t", _unpacked(part.column(at)))
+
+
 def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """(doc, tag, runs): of each document that has any, the runs of windows that also start in a document with a smaller key.
 
     ``tag`` is xxhash64 of the text; ``runs`` holds (first, last) window starts as pairs of int64.
     """
     size = (window + 1) // 2
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"{key} must be a whole number, as the smaller one keeps a passage")
     given = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("tag"), F.col(text).alias("t"))
     total = given.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     bits = _bucket_bits(total // 6)
@@ -194,10 +228,10 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
         return pa.Table.from_batches([_send(_home(doc[order], bits), doc[order], doc[order] * 0, place[order])])
 
     sent = given.mapInArrow(probe, _SENT)
-    hits = scratch.keep(_by_document(sent, answer), "hits").select("doc", F.col("runs").alias("hits"))
+    hits = scratch.keep(_by_document(sent, answer, bits), "hits")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, words in _row_blocks(batches):
+        for part, words in _row_blocks(_opened(batches, 2)):
             ids, tags = np.asarray(part.column(0)), np.asarray(part.column(1))
             over = np.zeros(len(words.start) + 1, np.int64)
             for d, raw in enumerate(part.column(3).to_pylist()):
@@ -233,14 +267,18 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
         order = np.lexsort((place, tag, doc))
         return pa.Table.from_batches([_send(_home(doc[order], bits), doc[order], tag[order], place[order])])
 
-    found = given.join(hits, "doc").select("doc", "tag", "t", "hits").mapInArrow(extend, _SENT)
-    return scratch.keep(_by_document(found, compare), "repeats")
+    maybe, _ = Sieve(hits, F.xxhash64("doc"), scratch).split(given, F.xxhash64("doc"))
+    moved = _packed(maybe, "doc long, tag long").join(hits.select("doc", F.col("runs").alias("hits")), "doc")
+    found = moved.select("doc", "tag", "z", "hits").mapInArrow(extend, _SENT)
+    out = scratch.keep(_by_document(found, compare, bits), "repeats")
+    scratch.drop(hits)
+    return out
 
 
-def _by_document(sent: DataFrame, judge: Callable[[pa.Table], pa.Table]) -> DataFrame:
+def _by_document(sent: DataFrame, judge: Callable[[pa.Table], pa.Table], bits: int) -> DataFrame:
     """What the buckets of hashes say of each document, brought home to it."""
-    judged = sent.groupBy("bucket").applyInArrow(judge, _SENT)
-    return judged.groupBy("bucket").applyInArrow(_runs_of, "doc long, tag long, runs binary")
+    judged = by_bucket(sent, 2 << bits).groupBy("bucket").applyInArrow(judge, _SENT)
+    return by_bucket(judged, 1 << bits).groupBy("bucket").applyInArrow(_runs_of, "doc long, tag long, runs binary")
 
 
 def _kept_parts(words: Words, d: int, raw: bytes | None, window: int) -> tuple[int, int, bytes]:
@@ -258,15 +296,18 @@ def _kept_parts(words: Words, d: int, raw: bytes | None, window: int) -> tuple[i
     return b - a, int((~keep).sum()), b" ".join(parts)
 
 
-def _with_repeats(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
-    found = repeats(docs, Scratch(docs.sparkSession, "substr"), text, key, window)
-    found = found.select(F.col("doc").alias("substr__doc"), F.col("tag").alias("substr__tag"), F.col("runs").alias("substr__runs"))
-    return docs.join(found, (F.col(key).cast("long") == F.col("substr__doc")) & (F.xxhash64(text) == F.col("substr__tag")), "left")
+def _with_repeats(docs: DataFrame, text: str, key: str, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(found, maybe, clean): the repeats (doc, tag, runs) and the rows that may and that surely don't have any."""
+    scratch = Scratch(docs.sparkSession, "substr")
+    found = repeats(docs, scratch, text, key, window)
+    maybe, clean = Sieve(found, F.xxhash64("doc", "tag"), scratch).split(docs, F.xxhash64(F.col(key).cast("long"), F.xxhash64(text)))
+    return found, maybe, clean
 
 
 def digests(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """``key``, n_words, n_removed and kept_sha256 of every row."""
     kind = docs.schema[key].dataType.simpleString()
+    result = f"k {kind}, n_words long, n_removed long, kept_sha256 string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words in _row_blocks(batches):
@@ -276,9 +317,15 @@ def digests(docs: DataFrame, text: str = "text", key: str = "doc_id", window: in
                 ["k", "n_words", "n_removed", "kept_sha256"],
             )
 
-    joined = _with_repeats(docs.select(key, text), text, key, window)
-    out = joined.select(F.col(key).alias("k"), "substr__runs", F.col(text).alias("t")).mapInArrow(run, f"k {kind}, n_words long, n_removed long, kept_sha256 string")
-    return out.withColumnRenamed("k", key)
+    def run_opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return run(_opened(batches, 2))
+
+    given = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    found, maybe, clean = _with_repeats(given, "t", "k", window)
+    moved = _packed(maybe.select("k", F.xxhash64("t").alias("tag_"), "t"), f"k {kind}, tag_ long")
+    joined = moved.join(found, (F.col("k").cast("long") == F.col("doc")) & (F.col("tag_") == F.col("tag")), "left").select("k", "runs", "z").mapInArrow(run_opened, result)
+    out = clean.select("k", F.lit(None).cast("binary").alias("runs"), "t").mapInArrow(run, result)
+    return out.unionByName(joined).withColumnRenamed("k", key)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, length: str | None = None) -> DataFrame:
@@ -286,7 +333,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
 
     ``length`` names a column of text lengths, which follows the texts that get shorter.
     """
-    joined = _with_repeats(docs, text, key, window)
+    found, maybe, clean = _with_repeats(docs, text, key, window)
 
     @F.pandas_udf("string")
     def cut(texts, runs):
@@ -295,8 +342,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", win
             out.append(t if raw is None else _kept_parts(scan(pa.array([t])), 0, raw, window)[2].decode())
         return type(texts)(out, dtype=object)
 
-    shorter = F.when(F.col("substr__runs").isNull(), F.col(text)).otherwise(cut(F.col(text), F.col("substr__runs")))
-    out = joined.withColumn(text, shorter)
+    doc, tag, runs = (free(f"substr_{x}", docs.columns) for x in ("doc", "tag", "runs"))
+    named = found.select(F.col("doc").alias(doc), F.col("tag").alias(tag), F.col("runs").alias(runs))
+    joined = maybe.join(named, (F.col(key).cast("long") == F.col(doc)) & (F.xxhash64(text) == F.col(tag)), "left")
+    out = joined.withColumn(text, F.when(F.col(runs).isNull(), F.col(text)).otherwise(cut(F.col(text), F.col(runs))))
     if length in docs.columns:
-        out = out.withColumn(length, F.when(F.col("substr__runs").isNull(), F.col(length)).otherwise(F.char_length(text).cast(docs.schema[length].dataType)))
-    return out.select(*docs.columns)
+        out = out.withColumn(length, F.when(F.col(runs).isNull(), F.col(length)).otherwise(F.char_length(text).cast(docs.schema[length].dataType)))
+    return clean.unionByName(out.select(*docs.columns))

@@ -27,7 +27,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 #: Bytes of text that are scanned at once.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 
 @dataclass
