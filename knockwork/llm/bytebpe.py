@@ -1,10 +1,15 @@
-"""Byte-level BPE encoding and decoding by a rank file, with long texts cut into overlapping chunks.
+"""Byte-level BPE encoding and decoding by a rank file, text by text in overlapping chunks.
 
-Pre-tokens of a chunk are found without regard to its neighbours; from the first boundary
-on that two overlapping chunks share, both see the same pre-tokens, so they are stitched
-there. Where an overlap has no such boundary (a run of letters longer than it), the scan
-goes on from the last sure boundary until it meets one. The stitched pieces are then
-encoded; decoding concatenates the raw bytes of the ids.
+Every text is cut into chunks. Pre-tokens of a chunk are found without regard to its
+neighbours; from the first boundary on that two overlapping chunks share, both see the same
+pre-tokens, so they are stitched there. Where an overlap has no such boundary (a run of letters
+longer than it), what is left from the last sure boundary on is cut again into larger chunks.
+The stitched pieces are then encoded; decoding concatenates the raw bytes of the ids.
+
+The chunks of a text lie together in its row and are stitched there. Those of texts of more
+than ``SPREAD`` chunks are dealt out: each is pre-tokenised by itself, only boundaries in
+overlaps meet by document, and every chunk's pieces are encoded where the chunk lies. From an
+overlap without a shared boundary on, the rest of such a text is one piece.
 
 A null text encodes as empty: no ids, and the hashes of nothing. Repeated rows give a
 row each, an empty table none, and extra columns are left out.
@@ -14,10 +19,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
-from collections.abc import Iterator, Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwork.llm import vocab
-from knockwork.llm.merging import merge
+from knockwork.llm.merging import merge, uncollected
 
-#: Characters of a chunk and of its overlap with the next; longer texts than a chunk are cut.
-CHUNK = 1 << 16
-OVERLAP = 1 << 10
+#: Characters of a chunk and of its overlap with the next; chunks of a text from which on they are dealt out.
+CHUNK, OVERLAP, SPREAD = 1 << 12, 1 << 8, 64
 #: Characters at a chunk's end in which a match may still change: the longest contraction.
 MARGIN = 4
-#: Strings whose ids a worker remembers; beyond, it forgets all and begins anew.
-MEMO = 600_000
+#: Units that a worker remembers as met of late, and as many met before; characters of the longest of them.
+MEMO, MEMO_CHARS = 400_000, 64
+#: Bytes of the longest pre-token whose pairs are looked through one after another; longer ones take a heap of pairs.
+SHORT = 48
 
 #: White space as Unicode has it, and the runs that a pattern in which no pre-token holds
 #: white space after its first character never cuts across. Found faster than pre-tokens.
@@ -43,26 +49,36 @@ RUNS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
 class Codec(dict):
-    """Ids by run of pre-tokens, filled as runs are met.
+    """(decimal digits of the ids, the bytes they decode to) by unit, filled as units are met.
 
-    ``runs`` finds strings that each hold whole pre-tokens, whatever stands around them;
-    None where a pattern has no such strings, and each pre-token is looked up for itself.
+    A unit is a pre-token or, where ``runs`` is given, a string that holds whole pre-tokens
+    whatever stands around it; what ``runs`` finds must be so for the pattern at hand. Of what
+    was met before the last ``MEMO`` units, only those that were met again are remembered.
     """
 
     def __init__(self, data: bytes, pattern: str, runs: str | None = None):
         super().__init__()
-        self.runs = re.compile(runs).findall if runs else None
         self.ranks = vocab.ranks(data)
         self.raw = {i: b for b, i in self.ranks.items()}
-        self.digits = {i: str(i) for i in self.raw}
         self.pattern = regex.compile(pattern)
-        self.piece = lru_cache(MEMO)(self.piece)
-
-    def __missing__(self, run: str) -> tuple[int, ...]:
-        if len(self) >= MEMO:
-            self.clear()
-        self[run] = ids = tuple(chain.from_iterable(map(self.piece, self.pattern.findall(run))))
-        return ids
+        self.units = re.compile(runs).findall if runs else self.pattern.findall
+        self.piece = lru_cache(MEMO // 2)(self.piece)
+        self.before: dict = {}
+
+    def __missing__(self, unit: str) -> tuple[bytes, bytes]:
+        out = self.before.get(unit)
+        if out is None:
+            ids = self.ids(unit)
+            out = " ".join(map(str, ids)).encode(), self.decode(ids)
+        if len(unit) <= MEMO_CHARS:
+            if len(self) >= MEMO:
+                self.before = dict(self)
+                self.clear()
+            self[unit] = out
+        return out
+
+    def ids(self, unit: str) -> list[int]:
+        return list(chain.from_iterable(map(self.piece, self.pattern.findall(unit))))
 
     def rank(self, a: bytes, b: bytes) -> tuple[int, bytes] | None:
         r = self.ranks.get(a + b)
@@ -72,123 +88,208 @@ class Codec(dict):
         raw, ranks = piece.encode(), self.ranks
         if raw in ranks:
             return (ranks[raw],)
+        if len(raw) <= SHORT:
+            return tuple(merged_short(raw, ranks))
         return tuple(ranks[s] for s in merge([raw[i : i + 1] for i in range(len(raw))], self.rank))
 
-    def encode_pieces(self, pieces: Sequence[str]) -> list[int]:
-        return list(chain.from_iterable(map(self.piece, pieces)))
-
-    def encode(self, text: str) -> list[int]:
-        if not self.runs:
-            return self.encode_pieces(self.pattern.findall(text))
-        return list(chain.from_iterable(map(self.__getitem__, self.runs(text))))
+    def encode(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
+        return list(chain.from_iterable(map(self.ids, pieces(text, self.units, chunk, overlap))))
 
     def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.raw.__getitem__, ids))
 
-    def digest(self, ids: Sequence[int]) -> tuple[int, str, str]:
-        said = " ".join(map(self.digits.__getitem__, ids)).encode()
-        return len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest()
+    def written(self, units: Sequence[str]) -> tuple[bytes, bytes]:
+        """The decimal ids of all units, joined by a space, and the bytes that they decode to."""
+        if not units:
+            return b"", b""
+        digits, raw = zip(*map(self.__getitem__, units), strict=True)
+        return b" ".join(digits), b"".join(raw)
 
     def ends(self, text: str) -> list[int]:
         return [m.end() for m in self.pattern.finditer(text)]
 
 
+def merged_short(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a few bytes: the adjacent pair of lowest rank, leftmost first, merges again and again."""
+    n, none = len(raw), 1 << 62
+    get, edge = ranks.get, list(range(n + 1))
+    pairs = [get(raw[i : i + 2], none) for i in range(n - 1)]
+    while pairs and (low := min(pairs)) < none:
+        i = pairs.index(low)
+        del edge[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(raw[edge[i] : edge[i + 2]], none)
+        if i:
+            pairs[i - 1] = get(raw[edge[i - 1] : edge[i + 1]], none)
+    return [ranks[raw[a:b]] for a, b in pairwise(edge)]
+
+
 def cut(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[tuple[int, str]]:
     """(start, text) of each chunk; all but the last reach into the next one's first ``overlap`` characters."""
     starts = range(0, max(1, len(text)), chunk)
     return [(s, text[s : s + chunk + overlap]) for s in starts]
 
 
-def stitch(text: str, starts: Sequence[int], ends: Sequence[Sequence[int]], pattern: regex.Pattern, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
-    """Ends of the pre-tokens of the whole text, from the ends that each chunk found for itself."""
-    size = len(text)
-    sure = []  # of each chunk, in the whole text
-    for start, own in zip(starts, ends, strict=True):
-        last = min(size, start + chunk + overlap)
-        known = [start, *(start + e for e in own)]
-        sure.append(known if last == size else known[: bisect_right(known, last - MARGIN)])
-    out: list[int] = []
-    at, k = 0, 0  # ``at`` is a boundary of the whole text
-    while at < size:
-        own = sure[k]
-        i = bisect_right(own, at)
-        if not (i and own[i - 1] == at):  # chunk k has no boundary here: go on alone
-            at = next(pattern.finditer(text, at)).end()
-            out.append(at)
-        else:
-            following = sure[k + 1] if k + 1 < len(sure) else []
-            shared = set(following[: bisect_right(following, own[-1])])
-            stop = next((j for j in range(i - 1, len(own)) if own[j] in shared), len(own) - 1)
-            out += own[i : stop + 1]
-            at = out[-1] if out else at
-            if at < size and not (following and at in shared):
-                at = next(pattern.finditer(text, at)).end()
-                out.append(at)
-        while k + 1 < len(starts) and at >= starts[k + 1]:
-            k += 1
-    return out
+def meet(tail: Sequence[int], head: Sequence[int]) -> int | None:
+    """The first place that both have, of boundaries in an overlap as each of two neighbours sees them; both in ascending order."""
+    if tail and head and tail[0] == head[0]:
+        return tail[0]
+    common = set(head).intersection(tail)
+    return min(common) if common else None
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", key: str = "doc_id", *, chunk: int = CHUNK, overlap: int = OVERLAP, runs: str | None = RUNS) -> DataFrame:
-    """``key``, n_tokens, ids_sha256 and decoded_sha256 of every row.
+def overlaps(ends: Sequence[int], size: int, last: bool, chunk: int, overlap: int) -> tuple[list[int], list[int]]:
+    """Boundaries of a chunk in its first ``overlap`` characters, and those in the next one's, from where that one starts.
 
-    Texts of one chunk are encoded where they are read. Longer ones are counted by
-    content, cut, pre-tokenised chunk by chunk on all executors and brought together
-    again by document; a task then holds one text and its ids.
+    A chunk's start is a boundary to itself; ends so near its end that more text might move them are none.
     """
+    head = [0, *ends[: bisect_right(ends, overlap)]]
+    if last:
+        return head, []
+    a, b = bisect_left(ends, chunk), bisect_right(ends, size - MARGIN)
+    return head, [e - chunk for e in ends[a:b]]
+
+
+def pieces(text: str, units: Callable[[str], list[str]], chunk: int = CHUNK, overlap: int = OVERLAP) -> list[str]:
+    """The units of the whole text, from those of its chunks."""
+    out: list[str] = []
+    at = 0  # a boundary of the whole text
+    while at < len(text):
+        rest = text[at:] if at else text
+        found = [units(part) for _, part in cut(rest, chunk, overlap)]
+        begin, k = 0, 0  # unit of chunk k that the next piece is
+        ends = list(accumulate(map(len, found[0])))
+        while k + 1 < len(found):
+            size = min(chunk + overlap, len(rest) - k * chunk)
+            following = list(accumulate(map(len, found[k + 1])))
+            _, tail = overlaps(ends, size, False, chunk, overlap)
+            head, _ = overlaps(following, 0, True, chunk, overlap)
+            if size < chunk + overlap:  # the chunk reaches the text's end, where no end can move
+                tail = [e - chunk for e in ends[bisect_left(ends, chunk) :]]
+            place = meet([e for e in tail if e + chunk >= (ends[begin - 1] if begin else 0)], head)
+            if place is None:
+                break
+            stop = bisect_right(ends, place + chunk)
+            out += found[k][begin:stop]
+            begin, k, ends = bisect_right(following, place), k + 1, following
+        if k + 1 == len(found):
+            return out + found[k][begin:]
+        # No boundary in common: go on from the last one that is sure, by larger chunks.
+        at += k * chunk + (ends[begin - 1] if begin else 0)
+        chunk, overlap = 4 * chunk, 4 * max(overlap, 1)
+    return out
+
+
+def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", key: str = "doc_id", *, runs: str | None = None) -> DataFrame:
+    """``key`` and ids (array of int) of every row."""
+    data = docs.sparkSession.sparkContext.broadcast(vocab.read(vocabulary))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(data.value, pattern, runs)
+        for batch in batches:
+            yield pa.record_batch([batch.column(0), pa.array([codec.encode(t or "") for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))], ["k", "ids"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, ids array<int>").withColumnRenamed("k", key)
+
+
+def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
+    """``key`` and raw (binary) of every row: the bytes of its ids, one after another; null ids are none."""
+    data = rows.sparkSession.sparkContext.broadcast(vocab.read(vocabulary))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw = {i: b for b, i in vocab.ranks(data.value).items()}
+        for batch in batches:
+            yield pa.record_batch([batch.column(0), pa.array([b"".join(map(raw.__getitem__, x or ())) for x in batch.column(1).to_pylist()], pa.binary())], ["k", "raw"])
+
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.select(F.col(key).alias("k"), F.col(ids).alias("i")).mapInArrow(run, f"k {kind}, raw binary").withColumnRenamed("k", key)
+
+
+def _digest(digits: bytes, raw: bytes) -> tuple[int, str, str]:
+    return digits.count(b" ") + bool(digits), hashlib.sha256(digits).hexdigest(), hashlib.sha256(raw).hexdigest()
+
+
+def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", key: str = "doc_id", *, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD, runs: str | None = None) -> DataFrame:
+    """``key``, n_tokens, ids_sha256 and decoded_sha256 of every row."""
     data = docs.sparkSession.sparkContext.broadcast(vocab.read(vocabulary))
     kind = docs.schema[key].dataType.simpleString()
-    result = f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     columns = ["k", "n_tokens", "ids_sha256", "decoded_sha256"]
+    whole = f"k {kind}, sha string, copies long"
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(data.value, pattern, runs)
-        for batch in batches:
-            found = [codec.digest(codec.encode(t or "")) for t in batch.column(1).to_pylist()]
-            n, ids, raw = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())], columns)
+        with uncollected():
+            for batch in batches:
+                found = [_digest(*codec.written(pieces(t, codec.units, chunk, overlap))) if t else _digest(b"", b"") for t in batch.column(1).to_pylist()]
+                n, ids, raw = zip(*found, strict=True) if found else ((), (), ())
+                yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())], columns)
 
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, t in enumerate(batch.column(1).to_pylist()):
+            for i, t in enumerate(batch.column(3).to_pylist()):
                 parts = cut(t, chunk, overlap)
-                row = batch.slice(i, 1)
-                for at in range(0, len(parts), 64):
-                    some = parts[at : at + 64]
-                    again = pa.array(np.zeros(len(some), np.int64))
+                for at in range(0, len(parts), 256):
+                    some = parts[at : at + 256]
+                    again = pa.array(np.full(len(some), i))
                     yield pa.record_batch(
-                        [row.column(0).take(again), row.column(2).take(again), row.column(3).take(again), pa.array([s for s, _ in some], pa.int64()), pa.array([p for _, p in some], pa.string())],
-                        ["k", "sha", "copies", "start", "part"],
+                        [*(batch.column(c).take(again) for c in range(3)), pa.array([s // chunk for s, _ in some], pa.int64()), pa.array([len(parts)] * len(some), pa.int64()), pa.array([p for _, p in some], pa.string())],
+                        ["k", "sha", "copies", "no", "parts", "part"],
                     )
 
-    def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(data.value, pattern, runs)
         for batch in batches:
-            ends = [np.array(codec.ends(p), np.int32).tobytes() for p in batch.column(4).to_pylist()]
-            yield batch.append_column("ends", pa.array(ends, pa.binary()))
+            heads, tails = [], []
+            for no, n, part in zip(*(batch.column(c).to_pylist() for c in (3, 4, 5)), strict=True):
+                ends = list(accumulate(map(len, codec.units(part))))
+                head, tail = overlaps(ends, len(part) + MARGIN * (len(part) < chunk + overlap), no + 1 == n, chunk, overlap)
+                heads.append(np.array(head, np.int32).tobytes())
+                tails.append(np.array(tail, np.int32).tobytes())
+            yield pa.record_batch([*batch.columns[:5], pa.array(heads, pa.binary()), pa.array(tails, pa.binary())], ["k", "sha", "copies", "no", "parts", "head", "tail"])
+
+    def agree(table: pa.Table) -> pa.Table:
+        """For each chunk, where its pieces begin and, in the next one, end; -1 is a text's end."""
+        table = table.sort_by("no")
+        heads, tails = ([np.frombuffer(x, np.int32).tolist() for x in table.column(c).to_pylist()] for c in ("head", "tail"))
+        n, begin, rows = len(heads), 0, []
+        for no in range(n):
+            place = meet([e for e in tails[no] if e + chunk >= begin], heads[no + 1]) if no + 1 < n else None
+            rows.append((no, begin, -1 if place is None else place))
+            if place is None:
+                break
+            begin = place
+        last = len(rows) - 1  # chunks after it are read with it
+        of = np.minimum(np.arange(n), last)
+        return table.select(["k", "sha", "no"]).append_column("piece", pa.array(of)).append_column("first", pa.array([rows[i][1] for i in of], pa.int64())).append_column("past", pa.array([rows[i][2] for i in of], pa.int64()))
+
+    def write(table: pa.Table) -> pa.Table:
+        """The digits and bytes of a piece's chunks: of one, but for those after the last shared boundary."""
+        table = table.sort_by("no")
+        codec = Codec(data.value, pattern, runs)
+        parts, first, past = table.column("part").to_pylist(), table.column("first")[0].as_py(), table.column("past")[0].as_py()
+        said = "".join([*(p[:chunk] for p in parts[:-1]), parts[-1]])
+        digits, raw = codec.written(pieces(said[first : len(said) if past < 0 else chunk + past], codec.units, chunk, overlap))
+        return pa.table([*(table.column(c).slice(0, 1) for c in ("k", "sha", "copies", "piece")), pa.array([digits], pa.large_binary()).cast(pa.binary()), pa.array([raw], pa.large_binary()).cast(pa.binary())], ["k", "sha", "copies", "piece", "digits", "raw"])
 
     def join(table: pa.Table) -> pa.Table:
-        table = table.sort_by("start")
-        starts, parts = table.column("start").to_pylist(), table.column("part").to_pylist()
-        ends = [np.frombuffer(e, np.int32).tolist() for e in table.column("ends").to_pylist()]
-        full = "".join(p[:chunk] for p in parts)
-        codec = Codec(data.value, pattern, runs)
-        cuts = stitch(full, starts, ends, codec.pattern, chunk, overlap)
-        n, ids, raw = codec.digest(codec.encode_pieces([full[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]))
+        table = table.sort_by("piece")
+        n, ids, raw = _digest(b" ".join(table.column("digits").to_pylist()), b"".join(table.column("raw").to_pylist()))
         return pa.table([table.column("k").slice(0, 1), table.column("copies").slice(0, 1), [n], [ids], [raw]], ["k", "copies", *columns[1:]])
 
     given = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    long = F.char_length("t") > chunk
-    short = given.filter(F.coalesce(~long, F.lit(True))).mapInArrow(whole, result)
-    parts = (
-        given.filter(long).groupBy("k", "t").agg(F.count("*").alias("copies"))
-        .select("k", "t", F.sha2("t", 256).alias("sha"), "copies")
-        .mapInArrow(chunks, f"k {kind}, sha string, copies long, start long, part string")
+    long = F.char_length("t") > chunk * spread
+    short = given.filter(F.coalesce(~long, F.lit(True))).mapInArrow(together, f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    dealt = (
+        given.filter(long).groupBy("k", "t").agg(F.count("*").alias("copies")).select("k", F.sha2("t", 256).alias("sha"), "copies", "t")
+        .mapInArrow(deal, f"{whole}, no long, parts long, part string")
     )
+    marks = dealt.mapInArrow(look, f"{whole}, no long, parts long, head binary, tail binary")
+    sure = marks.groupBy("k", "sha").applyInArrow(agree, f"k {kind}, sha string, no long, piece long, first long, past long").withColumnsRenamed({"k": "k_", "sha": "sha_", "no": "no_"})
+    met = dealt.join(sure, F.col("k").eqNullSafe(F.col("k_")) & (F.col("sha") == F.col("sha_")) & (F.col("no") == F.col("no_")))
+    written = met.select("k", "sha", "copies", "no", "piece", "first", "past", "part").groupBy("k", "sha", "piece").applyInArrow(write, f"{whole}, piece long, digits binary, raw binary")
     joined = (
-        parts.repartition("sha", "start")
-        .mapInArrow(pretokenise, f"k {kind}, sha string, copies long, start long, part string, ends binary")
-        .groupBy("k", "sha").applyInArrow(join, f"k {kind}, copies long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        written.groupBy("k", "sha").applyInArrow(join, f"k {kind}, copies long, n_tokens long, ids_sha256 string, decoded_sha256 string")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
     )
     return short.unionByName(joined).select(F.col("k").alias(key), *columns[1:])

@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import heapq
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """Python's cycle collector rests: what a worker remembers are strings without cycles, costly to look through again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def merge(symbols: Sequence[Any], rank: Callable[[Any, Any], tuple[int, Any] | None]) -> list[Any]:
     """The symbols after all merges: the adjacent pair of lowest rank, leftmost first, merges again and again.
 

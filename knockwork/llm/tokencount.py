@@ -6,7 +6,7 @@ tokens count one each, the rest is composed (NFC), white space becomes one space
 letters become small, and each match of the word pattern is merged separately.
 
 A null text counts as empty: 0 bytes, 0 tokens. Repeated rows are counted one by one,
-words of any length take O(n log n), extra columns are left out.
+words of any length take O(n log n), extra columns are left out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwork.llm import vocab
-from knockwork.llm.merging import merge
+from knockwork.llm.merging import merge, uncollected
 
 #: Fixed values of the vocabulary's library: how words are cut.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -29,8 +29,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+
 #: Characters at which str.split cuts though the word pattern doesn't.
 NOT_SPACE = regex.compile(r"[\x1c-\x1f]")
 
-#: Strings between white space whose counts a worker remembers; beyond, it forgets all and begins anew.
-MEMO = 800_000
+#: Strings between white space whose counts a worker remembers as met of late, and as many met before; characters of the longest of them.
+MEMO, MEMO_CHARS = 400_000, 64
 
 
 class Counter(dict):
@@ -40,14 +40,20 @@ class Counter(dict):
         super().__init__()
         self.pairs, self.specials, self.end = vocab.word_bpe(data)
         self.letters = vocab.byte_letters()
-        self.word = lru_cache(MEMO)(self.word)
+        self.word = lru_cache(MEMO // 2)(self.word)
+        self.before: dict = {}
         self.find = regex.compile(WORDS).findall
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
 
     def __missing__(self, run: str) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        self[run] = n = sum(self.word(w) for w in self.find(run))
+        n = self.before.get(run)
+        if n is None:
+            n = sum(map(self.word, self.find(run)))
+        if len(run) <= MEMO_CHARS:
+            if len(self) >= MEMO:
+                self.before = dict(self)
+                self.clear()
+            self[run] = n
         return n
 
     def word(self, word: str) -> int:
@@ -74,9 +80,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(data.value)
-        for batch in batches:
-            n = [counter.count(t) if t else 0 for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n, pa.int64())], ["k", "n_bytes", "n_tokens"])
+        with uncollected():
+            for batch in batches:
+                n = [counter.count(t) if t else 0 for t in batch.column(1).to_pylist()]
+                yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n, pa.int64())], ["k", "n_bytes", "n_tokens"])
 
     kind = docs.schema[key].dataType.simpleString()
     given = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"))
