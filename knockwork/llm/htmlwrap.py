@@ -1,18 +1,26 @@
 """Main text of web pages through wrappers: union-free regular expressions inferred for each host.
 
 A page is a stream of tags and texts. Runs that repeat are folded into repeated groups;
-two streams of a host are aligned by a longest common subsequence, what only one of them has
-becomes an optional group, and texts that differ become slots. A wrapper is what remains when
-all pages of a host have been aligned: its texts that never vary are the host's furniture,
-once pages of four different main texts agree on them; copies of a page count as one.
-Optional groups are never furniture, so neighbouring ones are kept as one gap; a wrapper is at
-most about twice as long as the shortest page of its host. Partial wrappers are inferred
-where pages are read, merged in salted groups and then for each host, so a host of any
-number of pages costs no task more than the wrappers of a share of the partitions.
-
-``extract`` keeps the text inside the article (or main) element, else all of the body,
-without elements whose tag, role or class names a menu, header, footer, sidebar, notice,
-advert, form, script, style or reader comment, and without the host's furniture.
+two streams of a host are aligned by a longest common subsequence, a single occurrence of
+what the other side repeats counts as a group of one, what only one of them has becomes an
+optional group, and texts that differ become slots. A wrapper is what remains when all pages
+of a host have been aligned. Optional groups are kept as gaps; a wrapper is at most about
+twice as long as the shortest page of its host.
+
+The slots of the wrapper decide what is main text, for all pages of the host alike. Each
+collects from all pages how many characters stood in it inside an article, outside one (in an
+element whose tag, role or class names a menu, header, footer, sidebar, notice, advert, form
+or reader comment), in prose and in blocks of links only. A slot that mostly stood in articles
+is main text; one that mostly stood outside isn't; of the others, those are that vary from page
+to page and aren't mostly links. So a page with broken markup, or one that lacks the marks
+which the host's other pages have, is read as these are.
+
+Tag rules alone decide texts that stand in no slot (in an optional group), and all texts of
+hosts whose pages have fewer than ``LEAST_PAGES`` different main texts; copies count as one.
+
+Pages of one shape are joined slot by slot, in any order; shapes are aligned in an order
+that their content gives, so partitions and the order of rows don't change a text. A host's
+shapes are aligned ``FAN`` at a time, level by level, whatever their number.
 
 A null or empty page has the text ''. Pages without a host share one wrapper. Repeated
 rows are extracted one by one; an empty table gives no rows; extra columns are left out.
@@ -23,8 +31,10 @@ from __future__ import annotations
 import html
 import pickle
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from hashlib import blake2b
 from math import isqrt
 
@@ -34,14 +44,14 @@ from pyspark.sql import functions as F
 
 from knockwork.llm.scratch import Scratch
 
-#: Main texts of a host that differ (as the tag rules alone give them) before what never varies counts as furniture.
+#: Main texts of a host that differ (as the tag rules alone give them) before its slots decide.
 LEAST_PAGES = 4
 #: Tokens of a repeated group and bytes of the hash by which a wrapper remembers a text.
 PERIOD, REMEMBERED = 12, 16
-#: Wrappers and nodes that a task holds before it hands them on; parts in which a host's wrappers are merged first.
-HOSTS, NODES, SALTS = 2000, 1 << 18, 32
-#: Nodes of pages whose places in a wrapper are remembered.
-KNOWN = 1 << 14
+#: Nodes of shapes that a task holds before it hands them on; parts in which pages of one shape are joined first; shapes aligned at once.
+NODES, SALTS, FAN = 1 << 17, 64, 256
+#: Wrappers and nodes that a task holds, and nodes of pages whose decisions are remembered.
+HOSTS, KNOWN = 2000, 1 << 14
 #: Bytes of wrappers that are broadcast; more are joined by host, where Spark splits a large one.
 BROADCAST_BYTES = 16 << 20
 
@@ -59,6 +69,8 @@ OUTSIDE_WORDS = set(
     "recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe subscription "
     "tags toolbar topbar widget widgets".split()
 )
+#: Words that change nothing beside those in a name such as page-footer or ad-box-2.
+FILLER = set("area bar block box button buttons bottom col column container div group holder inner item items left link links list outer page panel right row section site slot text top unit wrap wrapper".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
@@ -103,11 +115,14 @@ def tokens(source: str) -> Page:
 
 @dataclass
 class Node:
-    """A token, a repeated group or (``sign`` None) a gap of optional ones; ``slots`` hold the places of its texts (in a page) or what they said (in a wrapper, None once they differ)."""
+    """A token, a repeated group or (``sign`` None) a gap of optional ones.
+
+    ``slots`` hold the tokens of its texts in a page; in a wrapper (what was said, None once
+    pages differ; characters in articles, outside, in prose, in links).
+    """
 
     sign: object
     slots: list
-    optional: bool = False
 
 
 def fold(nodes: list[Node]) -> list[Node]:
@@ -129,16 +144,44 @@ def fold(nodes: list[Node]) -> list[Node]:
             for k in range(i + period, j, period):
                 slots = [_joined(a, b) for a, b in zip(slots, (s for x in nodes[k : k + period] for s in x.slots), strict=True)]
             sign = unit[0] if period == 1 and isinstance(unit[0], tuple) else ("+", *unit)
-            out.append(Node(sign, slots, all(x.optional for x in nodes[i:j])))
+            out.append(Node(sign, slots))
             i = j
         nodes = out
     return nodes
 
 
-def _joined(a: object, b: object) -> object:
+def _joined(a: list | tuple, b: list | tuple) -> list | tuple:
     if isinstance(a, list):
         return a + b
-    return a if a == b else None
+    return (a[0] if a[0] == b[0] else None, *(x + y for x, y in zip(a[1:], b[1:], strict=True)))
+
+
+def units_of(nodes: list[Node]) -> set[tuple]:
+    """What the repeated groups repeat."""
+    return {x.sign[1:] for x in nodes if isinstance(x.sign, tuple)}
+
+
+def regrouped(nodes: list[Node], units: set[tuple]) -> list[Node]:
+    """Single occurrences of ``units`` as groups of one, neighbouring groups of the same unit as one."""
+    for unit in sorted(units, key=lambda u: (len(u), repr(u))):
+        out: list[Node] = []
+        i, size, group = 0, len(unit), ("+", *unit)
+        while i < len(nodes):
+            if nodes[i].sign == group:
+                node, step = nodes[i], 1
+            elif nodes[i].sign == unit[0] and tuple(x.sign for x in nodes[i : i + size]) == unit:
+                node, step = Node(group, [s for x in nodes[i : i + size] for s in x.slots]), size
+            else:
+                out.append(nodes[i])
+                i += 1
+                continue
+            if out and out[-1].sign == group:
+                out[-1] = Node(group, [_joined(a, b) for a, b in zip(out[-1].slots, node.slots, strict=True)])
+            else:
+                out.append(node)
+            i += step
+        nodes = out
+    return nodes
 
 
 def nodes_of(page: Page) -> list[Node]:
@@ -199,65 +242,92 @@ def common(a: list, b: list) -> list[tuple[int, int]]:
 
 @dataclass
 class Wrapper:
-    """Nodes of a host's pages, how many rows they come from and hashes of their different main texts, LEAST_PAGES at most.
-
-    Where no main texts are given, what the nodes say stands for them.
-    """
+    """Nodes of a host's pages, how many rows they come from and hashes of their different main texts, LEAST_PAGES at most."""
 
     nodes: list[Node]
-    pages: int = 1
-    articles: set[bytes] | None = None
+    pages: int
+    articles: set[bytes]
+
+    def take(self, nodes: list[Node], pages: int, articles: set[bytes]) -> None:
+        """Align other nodes with these."""
+        self.pages += pages
+        self.articles = _few(self.articles | articles)
+        own, other = units_of(self.nodes), units_of(nodes)
+        mine, nodes = regrouped(self.nodes, own | other), regrouped(nodes, own | other)
+        known = [i for i, y in enumerate(nodes) if y.sign is not None]
+        places = {known[b]: a for a, b in common([x.sign if x.sign is not None else object() for x in mine], [nodes[i].sign for i in known])}
+        merged, at, left = [], 0, []  # left: nodes of either side since the last that both have
+        for i, y in enumerate(nodes):
+            place = places.get(i)
+            if place is None:
+                left.append(y)
+                continue
+            left += mine[at:place]
+            merged += _gap(left)
+            merged.append(Node(y.sign, [_joined(a, b) for a, b in zip(mine[place].slots, y.slots, strict=True)]))
+            at, left = place + 1, []
+        self.nodes = merged + _gap(left + mine[at:])
+
+    def plain(self) -> bytes:
+        return pickle.dumps((self.pages, sorted(self.articles), [(x.sign, x.slots) for x in self.nodes]))
+
+    def judged(self) -> Judge:
+        """What extraction needs; a wrapper of too few different pages decides nothing."""
+        if len(self.articles) < LEAST_PAGES:
+            return Judge([], [])
+        nodes = [x for x in self.nodes if x.sign is not None]
+        return Judge([x.sign for x in nodes], [[is_main(*s) for s in x.slots] for x in nodes])
+
+
+def is_main(said: bytes | None, article: int, outside: int, prose: int, links: int) -> bool:
+    """Whether a slot holds main text: what was said (None where pages differ) and the characters of it in four kinds of places."""
+    if article >= max(1, outside, prose + links):
+        return True
+    return outside <= article + prose + links and said is None and prose >= links
+
+
+@dataclass
+class Judge:
+    """Signs of a host's wrapper and, for the slots of each, whether they hold main text."""
+
+    signs: list
+    main: list[list[bool]]
     known: dict = field(default_factory=dict, repr=False)
     held: int = 0
 
-    def __post_init__(self) -> None:
-        if self.articles is None:
-            self.articles = _spoken(self.nodes)
-
-    def places(self, signs: tuple) -> list[int | None]:
-        """For each sign of a page, the node that it is; None for what the wrapper lacks."""
+    def decisions(self, nodes: list[Node]) -> list[bool | None]:
+        """Of every slot of a page, in order: whether it is main text, None where the wrapper doesn't have it."""
+        signs = tuple(x.sign for x in nodes)
         if signs not in self.known:
             if self.held > KNOWN:
-                self._forget()
-            out: list[int | None] = [None] * len(signs)
-            for a, b in common([x.sign for x in self.nodes], signs):
-                out[b] = a
+                self.known.clear()
+                self.held = 0
+            count, numbered = 0, []
+            for x in nodes:
+                numbered.append(Node(x.sign, [[count + k] for k in range(len(x.slots))]))
+                count += len(x.slots)
+            out: list[bool | None] = [None] * count
+            own = {s[1:] for s in self.signs if isinstance(s, tuple)}
+            mine = regrouped(numbered, own)
+            for a, b in common(self.signs, [x.sign for x in mine]):
+                for slots, main in zip(mine[b].slots, self.main[a], strict=True):
+                    for i in slots:
+                        out[i] = main
             self.known[signs] = out
             self.held += len(signs)
         return self.known[signs]
 
-    def _forget(self) -> None:
-        self.known.clear()
-        self.held = 0
+    def plain(self) -> bytes:
+        return pickle.dumps((self.signs, self.main))
 
-    def take(self, nodes: list[Node], pages: int, articles: set[bytes] | None = None) -> None:
-        """Align other nodes (slots hold what was said) with these."""
-        self.pages += pages
-        self.articles = set(sorted(self.articles | (_spoken(nodes) if articles is None else articles))[:LEAST_PAGES])
-        places = iter(self.places(tuple(x.sign for x in nodes if x.sign is not None)))
-        merged, at, left = [], 0, []  # left: nodes of either side since the last that both have
-        for y in nodes:
-            place = None if y.sign is None else next(places)
-            if place is None:
-                left.append(y)
-                continue
-            left += self.nodes[at:place]
-            x = self.nodes[place]
-            merged += _gap(left)
-            merged.append(Node(x.sign, [_joined(a, b) for a, b in zip(x.slots, y.slots, strict=True)]))
-            at, left = place + 1, []
-        merged += _gap(left + self.nodes[at:])
-        if [x.sign for x in merged] != [x.sign for x in self.nodes]:
-            self._forget()
-        self.nodes = merged
 
-    def plain(self) -> bytes:
-        return pickle.dumps((self.pages, sorted(self.articles), [(x.sign, x.slots, x.optional) for x in self.nodes]))
+def _few(articles: set[bytes]) -> set[bytes]:
+    return set(sorted(articles)[:LEAST_PAGES])
 
 
 def _gap(nodes: list[Node]) -> list[Node]:
-    """What stands for optional nodes; it has a slot if any of them has."""
-    return [Node(None, [None] if any(x.slots for x in nodes) else [], True)] if nodes else []
+    """What stands for optional nodes."""
+    return [Node(None, [])] if nodes else []
 
 
 def opened(data: bytes) -> Wrapper:
@@ -269,22 +339,6 @@ def _hashed(text: str) -> bytes:
     return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=REMEMBERED).digest()
 
 
-def _spoken(nodes: list[Node]) -> set[bytes]:
-    return {_hashed(repr([x.slots for x in nodes]))}
-
-
-def said(page: Page, nodes: list[Node]) -> list[Node]:
-    """The nodes of a page with the hash of what its texts say in place of where they stand."""
-    out = []
-    for x in nodes:
-        slots = []
-        for places in x.slots:
-            first = _SPACE.sub(" ", page.texts[places[0]])
-            slots.append(_hashed(first) if all(_SPACE.sub(" ", page.texts[i]) == first for i in places[1:]) else None)
-        out.append(Node(x.sign, slots, x.optional))
-    return out
-
-
 def _outside(tag: str, attributes: str, inside_article: bool) -> bool:
     if tag in OUTSIDE or (tag == "header" and not inside_article):
         return True
@@ -292,33 +346,41 @@ def _outside(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     for name, a, b, c in _ATTRIBUTE.findall(attributes.lower()):
         value = a or b or c
-        if name in ("class", "id") and not OUTSIDE_WORDS.isdisjoint(_WORD.findall(value)):
+        if name in ("class", "id") and any(_names_outside(token) for token in value.split()):
             return True
         if (name == "role" and value in OUTSIDE_ROLES) or (name == "hidden" and not value) or (name == "style" and "display:none" in value.replace(" ", "")):
             return True
     return False
 
 
-def extract(page: Page, wrapper: Wrapper | None) -> str:
-    """The main text: blocks in page order, joined by one space."""
-    furniture: set[int] = set()
-    if wrapper is not None and len(wrapper.articles) >= LEAST_PAGES and any(s is None for x in wrapper.nodes for s in x.slots):
-        nodes = nodes_of(page)
-        for x, place in zip(nodes, wrapper.places(tuple(x.sign for x in nodes)), strict=True):
-            if place is not None and not wrapper.nodes[place].optional:
-                for where, constant in zip(x.slots, wrapper.nodes[place].slots, strict=True):
-                    if constant is not None:
-                        furniture.update(where)
+@lru_cache(1 << 14)
+def _names_outside(token: str) -> bool:
+    """Whether a class or id is made of words for what isn't an article: cookie-notice is, social-history isn't."""
+    words = {w for w in _WORD.findall(token) if len(w) > 1}
+    return not words.isdisjoint(OUTSIDE_WORDS) and words <= OUTSIDE_WORDS | FILLER
+
+
+ARTICLE, ASIDE, PROSE, LINKS = range(4)
+
+
+def places_of(page: Page) -> tuple[list[int], list[int]]:
+    """(kind, block) of every token: where tag rules place a text, and which block of the page it belongs to."""
     has_article = any(s in ("article", "main") for s in page.shape)
+    kinds, blocks = [PROSE] * len(page.shape), [0] * len(page.shape)
     stack: list[tuple[str, bool, bool]] = []  # tag, whether outside, whether an article
-    outside, inside, links = 0, 0, 0
-    parts: list[str] = []
-    block, plain = [], False  # of this block: its texts, and whether any stands outside a link
+    outside = inside = links = paragraph = number = 0
+    block: list[int] = []
+    plain = False  # whether any text of this block stands outside a link, or in a paragraph
     for i, sign in enumerate(page.shape):
+        blocks[i] = number
         if sign == "#":
-            if not outside and (inside or not has_article) and i not in furniture:
-                block.append(page.texts[i])
-                plain |= not links and not page.texts[i].isspace()
+            if outside or (has_article and not inside):
+                kinds[i] = ASIDE
+            elif inside:
+                kinds[i] = ARTICLE
+            else:
+                block.append(i)
+                plain |= (not links or paragraph) and not page.texts[i].isspace()
         elif sign == "a":
             links = 1
         elif sign == "/a":
@@ -326,11 +388,12 @@ def extract(page: Page, wrapper: Wrapper | None) -> str:
         elif sign.lstrip("/") in INLINE and not _outside(sign, page.attributes[i], True):
             continue
         else:
-            if block and (plain or has_article):  # elsewhere a block of links only is a menu
-                parts += block
-            parts.append(" ")
-            block, plain = [], False
+            if not plain:  # a block of links only is a menu
+                for k in block:
+                    kinds[k] = LINKS
+            block, plain, number = [], False, number + 1
             tag = sign.lstrip("/")
+            paragraph = sign == "p" or (paragraph and tag == "br")
             if tag not in BOXES and tag not in INLINE:
                 continue
             if sign[0] != "/":
@@ -343,62 +406,151 @@ def extract(page: Page, wrapper: Wrapper | None) -> str:
                     outside, inside = outside - out, inside - article
                     if t == tag:
                         break
-    if block and (plain or has_article):
-        parts += block
+    if not plain:
+        for k in block:
+            kinds[k] = LINKS
+    return kinds, blocks
+
+
+def said(page: Page, nodes: list[Node], kinds: list[int]) -> list[Node]:
+    """The nodes of a page with what its slots say and where, in place of the tokens."""
+    out = []
+    for x in nodes:
+        slots = []
+        for tokens_ in x.slots:
+            texts = [_SPACE.sub(" ", page.texts[i]) for i in tokens_]
+            chars = [0] * 4
+            for i, t in zip(tokens_, texts, strict=True):
+                chars[kinds[i]] += len(t)
+            slots.append((_hashed(texts[0]) if all(t == texts[0] for t in texts) else None, *chars))
+        out.append(Node(x.sign, slots))
+    return out
+
+
+def _joined_texts(page: Page, kept: Iterable[int], blocks: list[int]) -> str:
+    parts, last = [], None
+    for i in kept:
+        if blocks[i] != last:
+            parts.append(" ")
+            last = blocks[i]
+        parts.append(page.texts[i])
     return _SPACE.sub(" ", "".join(parts)).strip()
 
 
-def article_of(page: Page) -> set[bytes]:
-    """The hash of the main text by tag rules; nothing for a page that has none."""
-    text = extract(page, None)
-    return {_hashed(text)} if text else set()
+def by_tags(page: Page, kinds: list[int], blocks: list[int]) -> str:
+    """The main text by tag rules alone."""
+    return _joined_texts(page, (i for i, s in enumerate(page.shape) if s == "#" and kinds[i] in (ARTICLE, PROSE)), blocks)
+
+
+def extract(page: Page, judge: Judge | None) -> str:
+    """The main text: blocks in page order, joined by one space."""
+    kinds, blocks = places_of(page)
+    if judge is None or not judge.signs:
+        return by_tags(page, kinds, blocks)
+    nodes = nodes_of(page)
+    slots = [s for x in nodes for s in x.slots]
+    main = [k in (ARTICLE, PROSE) for k in kinds]
+    for tokens_, decision in zip(slots, judge.decisions(nodes), strict=True):
+        if decision is not None:
+            for i in tokens_:
+                main[i] = decision
+    return _joined_texts(page, (i for i, s in enumerate(page.shape) if s == "#" and main[i]), blocks)
+
+
+def shape_of(page: Page) -> tuple[list[Node], set[bytes]]:
+    """A page's nodes with what it says, and the hash of its main text by tag rules; none where there is no such text."""
+    kinds, blocks = places_of(page)
+    text = by_tags(page, kinds, blocks)
+    return said(page, nodes_of(page), kinds), {_hashed(text)} if text else set()
+
+
+def aligned(shapes: Iterable[Wrapper]) -> Wrapper:
+    """One wrapper of many, aligned in the order of how many pages they have and what they hold."""
+    first, *rest = sorted(shapes, key=lambda w: (-w.pages, w.plain()))
+    out = Wrapper(first.nodes, first.pages, set(first.articles))
+    for w in rest:
+        out.take(w.nodes, w.pages, w.articles)
+    return out
 
 
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def _flush(found: dict[str, Wrapper], salt: int) -> pa.RecordBatch:
-    hosts = list(found)
-    return pa.record_batch([pa.array(hosts, pa.string()), pa.array([salt] * len(hosts), pa.int64()), pa.array([found[h].plain() for h in hosts], pa.binary())], ["host", "salt", "wrapper"])
+def _flush(found: dict[tuple[str, bytes], Wrapper], salt: int) -> pa.RecordBatch:
+    return pa.record_batch(
+        [pa.array([h for h, _ in found], pa.string()), pa.array([s for _, s in found], pa.binary()), pa.array([salt % SALTS] * len(found), pa.int64()), pa.array([w.plain() for w in found.values()], pa.binary())],
+        ["host", "shape", "salt", "wrapper"],
+    )
+
+
+def _meet(ours: Wrapper, nodes: list[Node], pages: int, articles: set[bytes]) -> None:
+    """Join pages of one shape, slot by slot."""
+    for x, y in zip(ours.nodes, nodes, strict=True):
+        if x.slots:
+            x.slots = [_joined(a, b) for a, b in zip(x.slots, y.slots, strict=True)]
+    ours.pages += pages
+    if len(ours.articles) < LEAST_PAGES:
+        ours.articles = _few(ours.articles | articles)
+
+
+def _with_wrapper(table: pa.Table, data: bytes) -> pa.Table:
+    return table.slice(0, 1).set_column(table.schema.get_field_index("wrapper"), "wrapper", pa.array([data], pa.binary()))
 
 
 def infer(pages: DataFrame, scratch: Scratch, source: str = "html", url: str = "url") -> DataFrame:
-    """(host, wrapper) of all pages."""
+    """(host, wrapper) of all pages: what ``Judge`` is made of."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, Wrapper] = {}
-        held = 0
-        for n, batch in enumerate(batches):
-            salt = n
+        found: dict[tuple[str, bytes], Wrapper] = {}
+        held = flushed = 0
+        for batch in batches:
             for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                page = tokens(text)
-                nodes = said(page, nodes_of(page))
-                if host in found:
-                    enough = len(found[host].articles) >= LEAST_PAGES
-                    found[host].take(nodes, 1, set() if enough else article_of(page))
+                nodes, articles = shape_of(tokens(text))
+                key = host, _hashed(repr([x.sign for x in nodes]))
+                if key in found:
+                    _meet(found[key], nodes, 1, articles)
                 else:
-                    found[host] = Wrapper(nodes, 1, article_of(page))
-                    held += len(nodes)
-                salt = (salt * 31 + len(text)) % SALTS
-                if len(found) >= HOSTS or held >= NODES:
-                    yield _flush(found, salt)
-                    found, held = {}, 0
+                    found[key] = Wrapper(nodes, 1, articles)
+                    held += len(nodes) + 1
+                if held >= NODES:
+                    yield _flush(found, zlib.crc32(text.encode("utf-8", "surrogatepass")) + flushed)
+                    found, held, flushed = {}, 0, flushed + 1
         if found:
-            yield _flush(found, salt)
+            yield _flush(found, zlib.crc32(text.encode("utf-8", "surrogatepass")) + flushed)
 
-    def merge(table: pa.Table) -> pa.Table:
-        parts = sorted(table.column("wrapper").to_pylist())
-        whole = opened(parts[0])
-        for p in parts[1:]:
-            other = opened(p)
-            whole.take(other.nodes, other.pages, other.articles)
-        return table.slice(0, 1).set_column(table.schema.get_field_index("wrapper"), "wrapper", pa.array([whole.plain()], pa.binary()))
+    def same_shape(table: pa.Table) -> pa.Table:
+        first, *rest = map(opened, table.column("wrapper").to_pylist())
+        for w in rest:
+            _meet(first, w.nodes, w.pages, w.articles)
+        return _with_wrapper(table, first.plain())
 
-    kind = "host string, salt long, wrapper binary"
+    def align(table: pa.Table) -> pa.Table:
+        return _with_wrapper(table, aligned(map(opened, table.column("wrapper").to_pylist())).plain())
+
+    def conclude(table: pa.Table) -> pa.Table:
+        return _with_wrapper(table, aligned(map(opened, table.column("wrapper").to_pylist())).judged().plain())
+
+    kind = "host string, shape binary, salt long, wrapper binary"
     given = pages.filter(F.length(source) > 0).select(host_of(F.col(url)).alias("host"), F.col(source).alias("t"))
-    first = given.mapInArrow(partial, kind)
-    return scratch.keep(first.groupBy("host", "salt").applyInArrow(merge, kind).groupBy("host").applyInArrow(merge, kind).select("host", "wrapper"), "wrappers")
+    joined = given.mapInArrow(partial, kind).groupBy("host", "shape", "salt").applyInArrow(same_shape, kind).groupBy("host", "shape").applyInArrow(same_shape, kind)
+    shapes = scratch.keep(joined.select("host", "shape", "wrapper"), "shapes")
+    kind = "host string, shape binary, wrapper binary"
+    most = shapes_left(shapes)
+    while most > FAN:
+        parts = -(-most // (FAN // 2))
+        level = shapes.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(parts)))
+        following = scratch.keep(level.groupBy("host", "part").applyInArrow(lambda t: align(t.drop_columns("part")), kind), "level")
+        scratch.drop(shapes)
+        shapes, most = following, shapes_left(following)
+    out = scratch.keep(shapes.groupBy("host").applyInArrow(conclude, kind).select("host", "wrapper"), "wrappers")
+    scratch.drop(shapes)
+    return out
+
+
+def shapes_left(shapes: DataFrame) -> int:
+    """The most that any host has."""
+    return shapes.groupBy("host").count().agg(F.max("count")).first()[0] or 0
 
 
 def main_text(pages: DataFrame, source: str = "html", url: str = "url", key: str = "page_id") -> DataFrame:
@@ -406,7 +558,7 @@ def main_text(pages: DataFrame, source: str = "html", url: str = "url", key: str
     wrappers = infer(pages, Scratch(pages.sparkSession, "wrappers"), source, url)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, Wrapper] = {}
+        known: dict[bytes, Judge] = {}
         held = 0
         for batch in batches:
             out = []
@@ -415,8 +567,8 @@ def main_text(pages: DataFrame, source: str = "html", url: str = "url", key: str
                     if len(known) > HOSTS or held > NODES:
                         known.clear()
                         held = 0
-                    known[data] = opened(data)
-                    held += len(known[data].nodes)
+                    known[data] = Judge(*pickle.loads(data))
+                    held += len(known[data].signs)
                 out.append(extract(tokens(text), known.get(data)) if text else "")
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["k", "u", "text"])
 
