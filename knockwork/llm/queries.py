@@ -55,7 +55,7 @@ def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bytebpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    return bytebpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, runs=bytebpe.RUNS)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,10 +99,19 @@ d as (select row_number() over () as rid, doc_id, regexp_extract_all(translate(c
 p as (select rid, i, size, array_to_string(ws[i : i + size - 1], ' ') as k from (select rid, ws, size, unnest(range(1, len(ws) - size + 2)) as i from d, (select distinct size from w))),
 m as (select distinct rid, i, size, item_id from p join w using (k, size)),
 h as (select rid, count(distinct pos) as n_hit from (select rid, unnest(range(i, i + size)) as pos from m) group by 1),
-t as (select rid, count(distinct item_id) as n_items, array_to_string(list_sort(list(distinct item_id::varchar)), ',') as items from m group by 1)
+t as (select rid, count(distinct item_id) as n_items, array_to_string(list_sort(list(distinct item_id::varchar)), ',') as items from m group by 1),
+freq as (select word, count(*) as n from (select unnest(ws) as word from d) group by 1),
+one as (select distinct k, string_split(k, ' ') as wl from w),
+places as (select k, word, coalesce(n, 0) * 100 + off as rarity from (select k, unnest(wl) as word, unnest(range(1, len(wl) + 1)) as off from one) left join freq using (word)),
+rarest as (select k, arg_min(word, rarity) as w1 from places group by 1),
+second as (select k, arg_min(word, rarity) as w2 from places join rarest using (k) where word <> w1 group by 1),
+q as (select k, w1, coalesce(w2, w1) as w2, list_distinct(wl) as kinds from rarest left join second using (k) join one using (k)),
+near as (select rid, ws[i] as w1, ws[greatest(1, i - 12) : i + 12] as around from (select rid, ws, unnest(range(1, len(ws) + 1)) as i from d) where ws[i] in (select w1 from rarest)),
+close as (select distinct rid, k from near join q using (w1) where list_contains(around, w2) and len(list_intersect(list_distinct(around), kinds)) >= 0.8 * len(kinds)),
+found as (select rid, count(distinct item_id) as n_near from (select rid, item_id from m union all select rid, item_id from close join w using (k)) group by 1)
 select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
-  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated
-from d left join h using (rid) left join t using (rid)
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(ws) as contaminated, coalesce(n_near, 0)::bigint as n_near
+from d left join h using (rid) left join t using (rid) left join found using (rid)
 """,
     "op6_substring_dedup": r"""
 with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),

@@ -59,26 +59,24 @@ def test_main_text(spark):
     assert got == [(1, said, len(said)), (1, said, len(said)), (2, "", 0), (3, "", 0), (4, "plain text", 10)]
 
 
-def test_wrapper_learns_furniture():
-    pages = [htmlwrap.tokens(f"<body><div>Same line</div><div>{'<p>words %d</p>' % i * (i % 3 + 1)}</div>{'<div><i>odd</i></div>' if i == 2 else ''}</body>") for i in range(6)]
-    wrapper = None
+def wrapped(sources):
+    """Pages, the wrapper that their inference gives and its judge."""
+    pages, shapes = [htmlwrap.tokens(s) for s in sources], {}
     for p in pages:
-        nodes = htmlwrap.said(p, htmlwrap.nodes_of(p))
-        if wrapper is None:
-            wrapper = htmlwrap.Wrapper(nodes)
+        nodes, articles = htmlwrap.shape_of(p)
+        key = repr([x.sign for x in nodes])
+        if key in shapes:
+            htmlwrap._meet(shapes[key], nodes, 1, articles)
         else:
-            wrapper.take(nodes, 1)
-    assert htmlwrap.extract(pages[4], wrapper) == "words 4 words 4"
-    assert any(x.optional for x in wrapper.nodes) and wrapper.pages == 6
+            shapes[key] = htmlwrap.Wrapper(nodes, 1, articles)
+    wrapper = htmlwrap.aligned(shapes.values())
+    return pages, wrapper, wrapper.judged()
 
 
-def wrapped(sources):
-    """Pages and the wrapper that their inference gives."""
-    pages = [htmlwrap.tokens(s) for s in sources]
-    wrapper = htmlwrap.Wrapper(htmlwrap.said(pages[0], htmlwrap.nodes_of(pages[0])))
-    for p in pages[1:]:
-        wrapper.take(htmlwrap.said(p, htmlwrap.nodes_of(p)), 1)
-    return pages, wrapper
+def test_wrapper_learns_furniture():
+    pages, wrapper, judge = wrapped([f"<body><div>Same line</div><div>{'<p>words %d</p>' % i * (i % 3 + 1)}</div>{'<div><i>odd</i></div>' if i == 2 else ''}</body>" for i in range(6)])
+    assert [htmlwrap.extract(pages[i], judge) for i in (4, 3)] == ["words 4 words 4", "words 3"]
+    assert any(x.sign is None for x in wrapper.nodes) and wrapper.pages == 6
 
 
 def test_wrapper_holds_all_nodes_of_long_pages_and_many_templates():
@@ -90,18 +88,67 @@ def test_wrapper_holds_all_nodes_of_long_pages_and_many_templates():
         [f"<body>{odd(i, 300)}<div>story {i}</div><section>end line</section></body>" for i in range(12)],
     ):
         for order in (sources, sources[::-1]):
-            pages, wrapper = wrapped(order)
-            assert all("story" in t and "end line" not in t for t in (htmlwrap.extract(p, wrapper) for p in pages))
+            pages, wrapper, judge = wrapped(order)
+            assert all("story" in t and "end line" not in t for t in (htmlwrap.extract(p, judge) for p in pages))
     assert len(wrapper.nodes) < 2 * len(htmlwrap.nodes_of(pages[0]))
 
 
+def test_slots_decide_where_tags_mislead():
+    top = '<body><nav><ul><li><a href="/">one %d</a></li></ul></nav>'
+    page = top + '<div class="ad">buy %d</div><article><h1>title %d</h1><p>story %d</p></article><div>by %d</div></body>'
+    broken = page.replace("buy %d</div>", "buy %d")  # the advert is never closed
+    bare = page.replace("<article>", "<div>").replace("</article>", "</div>").replace(' class="ad"', "")
+    pages, _, judge = wrapped([page % ((i,) * 5) for i in range(5)] + [broken % ((7,) * 5), bare % ((8,) * 5)])
+    for p, i, alone in ((pages[2], 2, "title 2 story 2"), (pages[5], 7, ""), (pages[6], 8, "buy 8 title 8 story 8 by 8")):
+        assert htmlwrap.extract(p, None) == alone
+        assert htmlwrap.extract(p, judge) == f"title {i} story {i}"
+    text = "<body>" + "".join("<div>" + ("<a href='x'>a linked sentence %d</a>" if k == 1 else "plain words %d") + "</div>" for k in range(3)) + "<section><a>menu %d</a></section></body>"
+    pages, _, judge = wrapped([text % (i, i, i, i) for i in range(5)])
+    assert htmlwrap.extract(pages[3], judge) == "plain words 3 a linked sentence 3 plain words 3"
+    assert htmlwrap.extract(pages[3], None) == "plain words 3 plain words 3"
+
+
+def test_nothing_else_of_an_article_is_dropped():
+    page = '<body><article><p>the same first line</p><section id="social-history"><p>told %d</p></section><p><a href="x">a linked paragraph</a></p><div class="share-buttons">share</div></article></body>'
+    pages, _, judge = wrapped([page % i for i in range(6)])
+    for wrapper in (judge, None):
+        assert htmlwrap.extract(pages[1], wrapper) == "the same first line told 1 a linked paragraph"
+
+
+def test_single_occurrences_join_groups():
+    sources = ["<body><nav>m</nav>" + "<p>only %d" % i * (1 if i % 2 else 3) + "<ul>" + "<li>item %d" % i * (i % 3 + 1) + "</ul></body>" for i in range(6)]
+    _, wrapper, _ = wrapped(sources)
+    assert [x.sign for x in wrapper.nodes].count(None) == 0
+    assert ("+", "p", "#") in [x.sign for x in wrapper.nodes] and ("+", "li", "#") in [x.sign for x in wrapper.nodes]
+
+
+def test_partitions_and_order_change_no_text(spark, monkeypatch):
+    monkeypatch.setattr(htmlwrap, "FAN", 8)
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        boxes = "".join(f"<section><h{k}>head</h{k}>{'<p>text %d</p>' % rng.randrange(40) * rng.randint(1, 3)}</section>" for k in range(1, 7) if rng.random() < 0.6)
+        rows.append((i, f"http://h{i % 2}/", f"<body><div>same</div>{boxes}<div>end {i % 5}</div></body>"))
+    rows += [(900, None, None), (901, "http://h1/", "")]
+    kind = "page_id long, url string, html string"
+    want = None
+    for n in (1, 7):
+        rng.shuffle(rows)
+        got = {r.page_id: (r.text, r.n_chars) for r in htmlwrap.main_text(spark.createDataFrame(rows, kind).repartition(n)).collect()}
+        assert want is None or got == want
+        want = got
+    assert len(want) == 302 and want[900] == ("", 0) and all("end" in t for i, (t, _) in want.items() if i < 900)
+    clash = spark.createDataFrame([(*r, "x", 1, b"w") for r in rows[:20]], kind + ", k string, host int, wrapper binary")
+    assert htmlwrap.main_text(clash).columns == ["page_id", "url", "text", "n_chars"] and htmlwrap.main_text(clash.limit(0)).count() == 0
+
+
 def test_texts_that_differ_after_a_long_opening():
     opening = "the same standard opening of every story " * 8
     sources = [f"<body><div>{opening}story {i}</div><section>end line</section><p>{opening}one {i}</p><p>{opening}two {i}</p></body>" for i in range(6)]
-    pages, wrapper = wrapped(sources)
+    pages, _, judge = wrapped(sources)
     said = " ".join(opening.split())
     for i, p in enumerate(pages):
-        assert htmlwrap.extract(p, wrapper) == f"{said} story {i} {said} one {i} {said} two {i}"
+        assert htmlwrap.extract(p, judge) == f"{said} story {i} {said} one {i} {said} two {i}"
 
 
 def test_copies_of_a_page_make_no_furniture(spark):

@@ -13,6 +13,7 @@ import tiktoken
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from knockwork.llm import bytebpe, decontam, quality, simhash, substr, textscan, tokencount, vocab
@@ -68,8 +69,8 @@ def test_ids_and_bytes(codec, library):
         assert codec.encode(text) == library.encode_ordinary(text)
         assert codec.decode(codec.encode(text)) == text.encode()
         for chunk, overlap in ((7, 3), (16, 8), (5, 0)):
-            parts = bytebpe.cut(text, chunk, overlap)
-            assert bytebpe.stitch(text, [s for s, _ in parts], [codec.ends(p) for _, p in parts], codec.pattern, chunk, overlap) == codec.ends(text)
+            assert bytebpe.pieces(text, codec.pattern.findall, chunk, overlap) == codec.pattern.findall(text)
+            assert codec.encode(text, chunk, overlap) == library.encode_ordinary(text)
 
 
 def test_encoding_of_long_short_and_null(spark, library):
@@ -78,7 +79,18 @@ def test_encoding_of_long_short_and_null(spark, library):
     for i, t in rows + rows[:5]:
         ids = library.encode_ordinary(t or "")
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
-    assert plain(bytebpe.encode_documents(table(spark, rows), RANKS, P.PATTERN, chunk=40, overlap=8)) == sorted(want, key=str)
+    docs = table(spark, rows)
+    for sizes in ({"chunk": 40, "overlap": 8, "spread": 1}, {"chunk": 9, "overlap": 5, "spread": 4}, {"chunk": 16, "overlap": 8}, {}):
+        for runs in (None, bytebpe.RUNS):
+            assert plain(bytebpe.encode_documents(docs, RANKS, P.PATTERN, runs=runs, **sizes)) == sorted(want, key=str)
+    assert bytebpe.encode_documents(docs.limit(0), RANKS, P.PATTERN).count() == 0
+
+
+def test_ids_are_given_and_decoded(spark, library):
+    rows = [(1, "Hello  wörld, it's 中🎉"), (2, None), (3, ""), (4, "x" * 70_000 + " y")]
+    ids = bytebpe.encode(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, P.PATTERN, runs=bytebpe.RUNS)
+    assert {r.doc_id: list(r.ids) for r in ids.collect()} == {i: library.encode_ordinary(t or "") for i, t in rows}
+    assert {r.doc_id: bytes(r.raw) for r in bytebpe.decode(ids, RANKS).collect()} == {i: (t or "").encode() for i, t in rows}
 
 
 def test_token_count_rows(spark):
@@ -110,9 +122,30 @@ def test_quality_counts(spark):
     kept = quality.keep_good(table(spark, rows))
     assert kept.columns == ["doc_id", "text", "q_n_words", "tag"]
     assert {r.doc_id for r in kept.collect()} == {g[0] for g in got if g[7]} >= {80}
+    assert {(r.q_n_words, r.tag) for r in kept.collect()} == {("x", 1)}
+    lines = spark.createDataFrame([(80, rows[-2][1], 60, 5)], "doc_id long, text string, q_lines int, Q_Part int")
+    assert [tuple(r) for r in quality.keep_good(lines).collect()] == [(80, rows[-2][1], 60, 5)]
+    with pytest.raises(ValueError):
+        quality.features(lines)
     assert quality.judge(table(spark, rows).limit(0)).count() == 0
 
 
+def test_cascade_order(spark):
+    docs = spark.createDataFrame([(i, "word " * 60 + ("#" if i % 4 == 0 else "")) for i in range(400)], "doc_id long, text string")
+    always, quarter, never = F.col("q_n_words") > 0, F.col("q_n_symbols") > 0, F.col("q_n_words") < 0
+    rules = [
+        quality.Rule("dear_never", never, 900.0), quality.Rule("never", never), quality.Rule("dear_always", always, 900.0), quality.Rule("quarter", quarter),
+        quality.Rule("grows_quarter", quarter, F.char_length("text") * 1.0), quality.Rule("always", always),
+    ]
+    for n in (1, 3, 8):
+        order = [r.name for r in quality.plan_cascade(docs.repartition(n), rules)]
+        assert order == ["always", "quarter", "dear_always", "never", "grows_quarter", "dear_never"] or order == ["always", "quarter", "dear_always", "grows_quarter", "never", "dear_never"]
+    large = docs.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("copy")
+    orders = {tuple(r.name for r in quality.plan_cascade(large, rules, sample_rows=300)) for _ in range(3)}
+    assert len(orders) == 1 and next(iter(orders))[0] == "always" and next(iter(orders))[-1] == "dear_never"
+    assert quality.plan_cascade(docs.limit(0), rules) == rules
+
+
 def fingerprint(text):
     words = SPACE.findall((text or "").translate(LOWER))
     if not words:
@@ -121,8 +154,8 @@ def fingerprint(text):
     return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
 
 
-def groups(rows):
-    """Smallest id reachable by links of three bits or fewer."""
+def groups(rows, each=False):
+    """Smallest id reachable by links of three bits or fewer; ``each`` gives it once for each group."""
     prints = [fingerprint(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -139,6 +172,8 @@ def groups(rows):
     for i, (key, _) in enumerate(rows):
         if key is not None:
             of[find(i)] = min(of.get(find(i), key), key)
+    if each:
+        return [of.get(r) for r in {find(i) for i in range(len(rows))}]
     return [(key, f"{p:016x}", of.get(find(i))) for i, ((key, _), p) in enumerate(zip(rows, prints, strict=True))]
 
 
@@ -148,8 +183,24 @@ def test_simhash_groups(spark):
     rows = rows_of(6, 20, ["a", "B", "c"], 25) + [(i, long + " x" * (i % 3)) for i in range(60, 66)]
     got = plain(simhash.near_duplicates(table(spark, rows)))
     assert got == sorted(groups(rows + rows[:5]), key=str)
-    kept = simhash.keep_one(table(spark, rows))
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({g[2] for g in got if g[2] is not None})
+    kept = simhash.one_of_each(table(spark, rows)).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == sorted(groups(rows, each=True), key=str)
+    assert simhash.near_duplicates(table(spark, rows).limit(0)).count() == simhash.one_of_each(table(spark, rows).limit(0)).count() == 0
+    kept = [tuple(r) for r in kept]
+    assert {r[:2] for r in kept} <= set(rows) and {r[2:] for r in kept} == {("x", 1)}
+
+
+def test_sieve_lets_every_key_through(spark):
+    from knockwork.llm.scratch import Scratch
+    from knockwork.llm.sieve import Sieve
+
+    rows = spark.range(3000).select(F.when(F.col("id") > 9, F.col("id")).alias("k"), F.lit(1).alias("sieve_bits"), F.lit("t").alias("block"))
+    for keys in (spark.range(100, 400), spark.range(0)):
+        maybe, clean = Sieve(keys, F.xxhash64("id"), Scratch(spark, "test")).split(rows, F.xxhash64("k"))
+        inside, outside = [r.k for r in maybe.collect()], [r.k for r in clean.collect()]
+        assert maybe.columns == clean.columns == rows.columns and len(inside) + len(outside) == 3000
+        wanted = {r.id for r in keys.collect()}
+        assert wanted <= set(inside) and len(inside) <= 2 * len(wanted)
 
 
 def test_one_row_of_every_group_stays(spark):
@@ -219,47 +270,80 @@ def test_substring_removal_keeps_columns(spark):
     rows = [(1, passage), (2, f"start {passage}  end"), (3, "alone  here"), (4, None)]
     got = {r.doc_id: (r.text, r.n) for r in substr.remove_repeats(spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, n long"), length="n").collect()}
     assert got == {1: (passage, 7), 2: ("start end", 9), 3: ("alone  here", 7), 4: (None, 7)}
+    clash = spark.createDataFrame([(*r, 7, "u") for r in rows], "doc_id long, text string, doc long, substr_tag string")
+    assert sorted(tuple(r)[2:] for r in substr.remove_repeats(clash).collect()) == [(7, "u")] * 4
+    assert substr.remove_repeats(clash.limit(0)).count() == substr.digests(clash.limit(0)).count() == 0
+    with pytest.raises(TypeError):
+        substr.digests(clash.withColumn("doc_id", F.lit("x")))
 
 
-def test_decontamination(spark):
-    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-    rows = rows_of(10, 30, ["a", "B", "É", "0"], 40)
-    bench = [(i % 5, rows[i][1][:60]) for i in range(8)] + [(7, "a"), (8, None), (9, "...")]
+def test_substring_dedup_of_a_very_long_text(spark):
+    rng = random.Random(12)
+    long = [f"w{rng.randrange(5000)}" for _ in range(400_000)]
+    rows = [(1, " ".join(long[1000:1060])), (2, " ".join(long)), (3, " ".join(long[399_000:]))]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substr.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (60, 0), 2: (400_000, 60), 3: (1000, 1000)}
+
+
+NOT_BETWEEN = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def contamination_of(rows, bench, size=13, near=0.8):
+    """What op3 returns, by trying every window at every place."""
+    split = [NOT_BETWEEN.findall((t or "").translate(LOWER)) for _, t in rows]
+    often = {}
+    for w in split:
+        for x in w:
+            often[x] = often.get(x, 0) + 1
     windows = {}
     for i, t in bench:
-        w = word.findall((t or "").translate(LOWER))
-        for p in range(max(1, len(w) - 12) if w else 0):
-            windows.setdefault(tuple(w[p : p + 13]), set()).add(i)
+        w = NOT_BETWEEN.findall((t or "").translate(LOWER))
+        for p in range(max(1, len(w) - size + 1) if w else 0):
+            windows.setdefault(tuple(w[p : p + size]), set()).add(i)
     want = []
-    for i, t in rows + rows[:5]:
-        w = word.findall((t or "").translate(LOWER))
-        hit, items = set(), set()
-        for k in windows:
-            for p in range(len(w) - len(k) + 1):
-                if tuple(w[p : p + len(k)]) == k:
+    for (i, _), w in zip(rows, split, strict=True):
+        hit, items, close = set(), set(), set()
+        for k, of in windows.items():
+            rare = sorted((often.get(x, 0), o, x) for o, x in enumerate(k))
+            second = next((x for _, _, x in rare if x != rare[0][2]), rare[0][2])
+            for p in range(len(w)):
+                if w[p : p + len(k)] == list(k):
                     hit |= set(range(p, p + len(k)))
-                    items |= windows[k]
-        want.append((i, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
+                    items |= of
+                around = set(w[max(0, p - size + 1) : p + size])
+                if w[p] == rare[0][2] and second in around and len(around & set(k)) >= near * len(set(k)):
+                    close |= of
+        want.append((i, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w), len(items | close)))
+    return want
+
+
+def test_decontamination(spark):
+    rows = rows_of(10, 30, ["a", "B", "É", "0"], 40) + [(70, "z" * 70 + " y"), (71, "z" * 71 + " y")]
+    bench = [(i % 5, rows[i][1][:60]) for i in range(8)] + [(7, "a"), (8, None), (9, "..."), (10, "z" * 71)]
+    want = contamination_of(rows + rows[:5], bench)
     benchmark = spark.createDataFrame(bench, "item_id long, text string")
     docs = table(spark, rows)
-    assert plain(decontam.contamination(docs, benchmark, block_terms=3)) == sorted(want, key=str)
-    clean = decontam.keep_clean(docs, benchmark)
-    assert clean.columns == docs.columns and clean.count() == sum(not w[5] for w in want)
-    assert decontam.contamination(docs, benchmark.limit(0)).filter("contaminated or n_hit > 0").count() == 0
+    assert plain(decontam.contamination(docs, benchmark)) == sorted(want, key=str)
+    assert plain(decontam.contamination(docs, benchmark, block_terms=3, block_windows=7)) == sorted(want, key=str)
+    clash = docs.withColumn("decon_doc", F.lit(3)).withColumn("tag", F.lit("t"))
+    clean = decontam.keep_clean(clash, benchmark)
+    assert clean.columns == clash.columns
+    assert sorted(((r.doc_id, r.tag, r.decon_doc) for r in clean.collect()), key=str) == sorted(((w[0], "t", 3) for w in want if not w[5]), key=str)
+    assert decontam.contamination(docs, benchmark.limit(0)).filter("contaminated or n_hit > 0 or n_near > 0").count() == 0
+    assert decontam.contamination(docs.limit(0), benchmark).count() == decontam.keep_clean(docs.limit(0), benchmark).count() == 0
 
 
 def test_proximity(spark):
-    docs = spark.createDataFrame([(1, "the quick brown fox jumps"), (2, "jumps fox brown quick the"), (3, "none of these")], "doc_id long, text string")
-    from knockwork.llm.scratch import Scratch
-    from pyspark.sql import functions as F
-
-    scratch = Scratch(spark, "test")
-    given_docs = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("tag"), decontam.words(F.col("text")).alias("ws"))
-    found = decontam.windows(spark.createDataFrame([(0, "quick brown fox")], "item_id long, text string"))
-    anchored = decontam.rarest_first(found, decontam.frequencies(given_docs, found.select(F.explode("w").alias("term")).distinct(), scratch))
-    postings = decontam.index(given_docs, anchored.select("term").distinct(), scratch).filter(F.col("term") != decontam.LAST)
-    assert [r.doc for r in decontam.matches(postings, anchored).collect()] == [1]
-    assert sorted(r.doc for r in decontam.matches(postings, anchored, near=1.0).collect()) == [1, 2]
+    said = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    there = said.split()
+    rows = [
+        (1, said), (2, " ".join(there[::-1])), (3, " ".join(there[:11] + ["x", "y"])), (4, " ".join(there[:9])), (5, "none of these"),
+        (6, " ".join(f"{w} gap gap" for w in there)), (7, "one two " * 40), (8, "thirteen thirteen twelve thirteen"),
+    ]
+    bench = [(0, said), (1, "quick brown")]
+    got = plain(decontam.contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")))
+    assert got == sorted(contamination_of(rows, bench), key=str)
+    assert [(g[0], g[3], g[6]) for g in got if g[6]][:2] == [(1, 1, 1), (2, 0, 1)]
 
 
 def test_scan_and_hashes():
