@@ -36,7 +36,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what is left."""
-    return bytebpe.encode_documents(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
+    return bytebpe.encode_documents(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, runs=bytebpe.RUNS)
 
 
 STAGES = [
