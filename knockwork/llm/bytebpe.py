@@ -20,27 +20,29 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate, chain, pairwise
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwork.llm import vocab
 from knockwork.llm.merging import merge, uncollected
+from knockwork.llm.textscan import blocks, released
 
 #: Characters of a chunk and of its overlap with the next; chunks of a text from which on they are dealt out.
 CHUNK, OVERLAP, SPREAD = 1 << 12, 1 << 8, 64
 #: Characters at a chunk's end in which a match may still change: the longest contraction.
 MARGIN = 4
 #: Units that a worker remembers as met of late, and as many met before; characters of the longest of them.
-MEMO, MEMO_CHARS = 400_000, 64
-#: Bytes of the longest pre-token whose pairs are looked through one after another; longer ones take a heap of pairs.
-SHORT = 48
+MEMO, MEMO_CHARS = 200_000, 64
+#: Bytes of text whose units are met together, and what stands for no token.
+BLOCK, NONE = 2 << 20, 1 << 62
 
 #: White space as Unicode has it, and the runs that a pattern in which no pre-token holds
 #: white space after its first character never cuts across. Found faster than pre-tokens.
@@ -49,7 +51,7 @@ RUNS = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
 class Codec(dict):
-    """(decimal digits of the ids, the bytes they decode to) by unit, filled as units are met.
+    """Decimal ids, joined by a space, by unit, filled as units are met.
 
     A unit is a pre-token or, where ``runs`` is given, a string that holds whole pre-tokens
     whatever stands around it; what ``runs`` finds must be so for the pattern at hand. Of what
@@ -59,69 +61,138 @@ class Codec(dict):
     def __init__(self, data: bytes, pattern: str, runs: str | None = None):
         super().__init__()
         self.ranks = vocab.ranks(data)
-        self.raw = {i: b for b, i in self.ranks.items()}
+        self.said = {b: str(i).encode() for b, i in self.ranks.items()}
+        self.raw = {said: b for b, said in self.said.items()}
+        self.pairs = Pairs(self.ranks)
         self.pattern = regex.compile(pattern)
         self.units = re.compile(runs).findall if runs else self.pattern.findall
-        self.piece = lru_cache(MEMO // 2)(self.piece)
         self.before: dict = {}
 
-    def __missing__(self, unit: str) -> tuple[bytes, bytes]:
+    def __missing__(self, unit: str) -> bytes:
         out = self.before.get(unit)
         if out is None:
-            ids = self.ids(unit)
-            out = " ".join(map(str, ids)).encode(), self.decode(ids)
+            out = b" ".join(map(self.piece, self.pattern.findall(unit)))
+        self._remember(unit, out)
+        return out
+
+    def _remember(self, unit: str, out: bytes) -> None:
         if len(unit) <= MEMO_CHARS:
             if len(self) >= MEMO:
                 self.before = dict(self)
                 self.clear()
             self[unit] = out
-        return out
 
-    def ids(self, unit: str) -> list[int]:
-        return list(chain.from_iterable(map(self.piece, self.pattern.findall(unit))))
+    def meet(self, units: Iterable[str]) -> None:
+        """Encode together, piece by piece, what isn't remembered of some units."""
+        units = set(units)
+        if len(self) > MEMO:
+            self.before = dict(self)
+            self.clear()
+        lacking = units.difference(self)
+        again = lacking.intersection(self.before)
+        self.update(zip(again, map(self.before.__getitem__, again), strict=True))
+        new = [u for u in lacking.difference(again) if len(u) <= MEMO_CHARS]
+        split = list(map(self.pattern.findall, new))
+        words = list(set(chain.from_iterable(split)))
+        raws = [w.encode() for w in words]
+        known = self.said
+        told = {w: known[r] for w, r in zip(words, raws, strict=True) if r in known}
+        rest = [(w, r) for w, r in zip(words, raws, strict=True) if r not in known]
+        told |= zip((w for w, _ in rest), self.pairs.merged([r for _, r in rest]), strict=True)
+        for unit, pieces_ in zip(new, split, strict=True):
+            self[unit] = b" ".join(map(told.__getitem__, pieces_))
 
     def rank(self, a: bytes, b: bytes) -> tuple[int, bytes] | None:
         r = self.ranks.get(a + b)
         return None if r is None else (r, a + b)
 
-    def piece(self, piece: str) -> tuple[int, ...]:
-        raw, ranks = piece.encode(), self.ranks
-        if raw in ranks:
-            return (ranks[raw],)
-        if len(raw) <= SHORT:
-            return tuple(merged_short(raw, ranks))
-        return tuple(ranks[s] for s in merge([raw[i : i + 1] for i in range(len(raw))], self.rank))
+    def piece(self, piece: str) -> bytes:
+        raw = piece.encode()
+        if raw in self.said:
+            return self.said[raw]
+        return b" ".join(map(self.said.__getitem__, merge([raw[i : i + 1] for i in range(len(raw))], self.rank)))
 
-    def encode(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
-        return list(chain.from_iterable(map(self.ids, pieces(text, self.units, chunk, overlap))))
+    def written(self, units: Sequence[str]) -> bytes:
+        """The decimal ids of all units, joined by a space."""
+        return b" ".join(map(self.__getitem__, units))
 
-    def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.raw.__getitem__, ids))
+    def encode(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
+        return list(map(int, self.written(pieces(text, self.units, chunk, overlap)).split()))
 
-    def written(self, units: Sequence[str]) -> tuple[bytes, bytes]:
-        """The decimal ids of all units, joined by a space, and the bytes that they decode to."""
-        if not units:
-            return b"", b""
-        digits, raw = zip(*map(self.__getitem__, units), strict=True)
-        return b" ".join(digits), b"".join(raw)
+    def decode(self, said: bytes) -> bytes:
+        """The bytes of decimal ids joined by a space, one after another."""
+        return b"".join(map(self.raw.__getitem__, said.split()))
 
     def ends(self, text: str) -> list[int]:
         return [m.end() for m in self.pattern.finditer(text)]
 
 
-def merged_short(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a few bytes: the adjacent pair of lowest rank, leftmost first, merges again and again."""
-    n, none = len(raw), 1 << 62
-    get, edge = ranks.get, list(range(n + 1))
-    pairs = [get(raw[i : i + 2], none) for i in range(n - 1)]
-    while pairs and (low := min(pairs)) < none:
-        i = pairs.index(low)
-        del edge[i + 1], pairs[i]
-        if i < len(pairs):
-            pairs[i] = get(raw[edge[i] : edge[i + 2]], none)
-        if i:
-            pairs[i - 1] = get(raw[edge[i - 1] : edge[i + 1]], none)
-    return [ranks[raw[a:b]] for a, b in pairwise(edge)]
+@lru_cache(1)
+def codec_of(data: bytes, pattern: str, runs: str | None) -> Codec:
+    """A worker's codec, which later tasks of the worker go on with."""
+    return Codec(data, pattern, runs)
+
+
+class Pairs:
+    """Which two tokens make a third, for merging many pre-tokens at once in numpy."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        made = {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                a, b = ranks.get(token[:i]), ranks.get(token[i:])
+                if a is not None and b is not None:
+                    made[a << 32 | b] = rank
+        keys = np.fromiter(made, np.int64, len(made))
+        order = np.argsort(keys)
+        self.keys, self.made = np.append(keys[order], -1), np.append(np.fromiter(made.values(), np.int64, len(made))[order], NONE)
+        self.bytes = np.array([ranks.get(bytes([b]), NONE) for b in range(256)])
+        self.two = np.array([ranks.get(bytes([a, b]), NONE) for a in range(256) for b in range(256)])
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Of each pair, the token that it makes, which is also its rank; NONE where it makes none."""
+        key = left << 32 | right
+        at = np.searchsorted(self.keys[:-1], key)
+        return np.where(self.keys[at] == key, self.made[at], NONE)
+
+    def merged(self, raws: Sequence[bytes]) -> list[bytes]:
+        """Decimal ids of each: its adjacent pair of lowest rank, leftmost first, merges again and again, in all of them at once."""
+        out = [b""] * len(raws)
+        if not raws:
+            return out
+        size = np.fromiter(map(len, raws), np.int64, len(raws))
+        data = np.frombuffer(b"".join(raws), np.uint8).astype(np.int64)
+        token, owner = self.bytes[data], np.repeat(np.arange(len(raws)), size)
+        rank = np.full(len(token), NONE)
+        rank[:-1] = np.where(owner[1:] == owner[:-1], self.two[data[:-1] << 8 | data[1:]], NONE)
+        while len(token):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            low = np.minimum.reduceat(rank, first)
+            ended = np.repeat(low == NONE, np.diff(np.append(first, len(owner))))
+            if ended.any():
+                ids, of = token[ended], owner[ended]
+                begin = np.flatnonzero(np.diff(of, prepend=-1))
+                said = list(map(str, ids.tolist()))
+                for i, a, b in zip(of[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(ids)], strict=True):
+                    out[i] = " ".join(said[a:b]).encode()
+                token, owner, rank, low = token[~ended], owner[~ended], rank[~ended], low[low != NONE]
+                if not len(token):
+                    break
+                first = np.flatnonzero(np.diff(owner, prepend=-1))
+            at = np.flatnonzero(rank == np.repeat(low, np.diff(np.append(first, len(owner)))))
+            at = at[np.diff(owner[at], prepend=-1) != 0]  # the leftmost of each
+            token[at] = rank[at]
+            keep = np.ones(len(token), bool)
+            keep[at + 1] = False
+            token, owner, rank = token[keep], owner[keep], rank[keep]
+            at = at - np.arange(len(at))  # one token is gone before each of the next ones
+            for place in (at, at[at > 0] - 1):
+                follows = place + 1 < len(token)
+                follows[follows] = owner[place[follows]] == owner[place[follows] + 1]
+                pair = place[follows]
+                rank[place[~follows]] = NONE
+                rank[pair] = self.rank(token[pair], token[pair + 1])
+        return out
 
 
 def cut(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[tuple[int, str]]:
@@ -158,7 +229,7 @@ def pieces(text: str, units: Callable[[str], list[str]], chunk: int = CHUNK, ove
         rest = text[at:] if at else text
         found = [units(part) for _, part in cut(rest, chunk, overlap)]
         begin, k = 0, 0  # unit of chunk k that the next piece is
-        ends = list(accumulate(map(len, found[0])))
+        ends = list(accumulate(map(len, found[0]))) if len(found) > 1 else []
         while k + 1 < len(found):
             size = min(chunk + overlap, len(rest) - k * chunk)
             following = list(accumulate(map(len, found[k + 1])))
@@ -185,7 +256,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", k
     data = docs.sparkSession.sparkContext.broadcast(vocab.read(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(data.value, pattern, runs)
+        codec = codec_of(data.value, pattern, runs)
         for batch in batches:
             yield pa.record_batch([batch.column(0), pa.array([codec.encode(t or "") for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))], ["k", "ids"])
 
@@ -206,8 +277,8 @@ def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", key: str = "doc_i
     return rows.select(F.col(key).alias("k"), F.col(ids).alias("i")).mapInArrow(run, f"k {kind}, raw binary").withColumnRenamed("k", key)
 
 
-def _digest(digits: bytes, raw: bytes) -> tuple[int, str, str]:
-    return digits.count(b" ") + bool(digits), hashlib.sha256(digits).hexdigest(), hashlib.sha256(raw).hexdigest()
+def _digest(said: bytes, raw: bytes) -> tuple[int, str, str]:
+    return said.count(b" ") + bool(said), hashlib.sha256(said).hexdigest(), hashlib.sha256(raw).hexdigest()
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", key: str = "doc_id", *, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD, runs: str | None = None) -> DataFrame:
@@ -217,11 +288,16 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
     columns = ["k", "n_tokens", "ids_sha256", "decoded_sha256"]
     whole = f"k {kind}, sha string, copies long"
 
+    @released
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(data.value, pattern, runs)
+        codec = codec_of(data.value, pattern, runs)
         with uncollected():
             for batch in batches:
-                found = [_digest(*codec.written(pieces(t, codec.units, chunk, overlap))) if t else _digest(b"", b"") for t in batch.column(1).to_pylist()]
+                found = []
+                for a, b in blocks(np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)), BLOCK):
+                    units = [pieces(t, codec.units, chunk, overlap) if t else [] for t in batch.column(1).slice(a, b - a).to_pylist()]
+                    codec.meet(chain.from_iterable(units))
+                    found += [_digest(said, codec.decode(said)) for said in map(codec.written, units)]
                 n, ids, raw = zip(*found, strict=True) if found else ((), (), ())
                 yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())], columns)
 
@@ -238,7 +314,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
                     )
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(data.value, pattern, runs)
+        codec = codec_of(data.value, pattern, runs)
         for batch in batches:
             heads, tails = [], []
             for no, n, part in zip(*(batch.column(c).to_pylist() for c in (3, 4, 5)), strict=True):
@@ -264,17 +340,17 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
         return table.select(["k", "sha", "no"]).append_column("piece", pa.array(of)).append_column("first", pa.array([rows[i][1] for i in of], pa.int64())).append_column("past", pa.array([rows[i][2] for i in of], pa.int64()))
 
     def write(table: pa.Table) -> pa.Table:
-        """The digits and bytes of a piece's chunks: of one, but for those after the last shared boundary."""
+        """The ids and bytes of a piece's chunks: of one, but for those after the last shared boundary."""
         table = table.sort_by("no")
-        codec = Codec(data.value, pattern, runs)
+        codec = codec_of(data.value, pattern, runs)
         parts, first, past = table.column("part").to_pylist(), table.column("first")[0].as_py(), table.column("past")[0].as_py()
         said = "".join([*(p[:chunk] for p in parts[:-1]), parts[-1]])
-        digits, raw = codec.written(pieces(said[first : len(said) if past < 0 else chunk + past], codec.units, chunk, overlap))
-        return pa.table([*(table.column(c).slice(0, 1) for c in ("k", "sha", "copies", "piece")), pa.array([digits], pa.large_binary()).cast(pa.binary()), pa.array([raw], pa.large_binary()).cast(pa.binary())], ["k", "sha", "copies", "piece", "digits", "raw"])
+        ids = codec.written(pieces(said[first : len(said) if past < 0 else chunk + past], codec.units, chunk, overlap))
+        return pa.table([*(table.column(c).slice(0, 1) for c in ("k", "sha", "copies", "piece")), pa.array([ids], pa.binary()), pa.array([codec.decode(ids)], pa.binary())], ["k", "sha", "copies", "piece", "ids", "raw"])
 
     def join(table: pa.Table) -> pa.Table:
         table = table.sort_by("piece")
-        n, ids, raw = _digest(b" ".join(table.column("digits").to_pylist()), b"".join(table.column("raw").to_pylist()))
+        n, ids, raw = _digest(b" ".join(table.column("ids").to_pylist()), b"".join(table.column("raw").to_pylist()))
         return pa.table([table.column("k").slice(0, 1), table.column("copies").slice(0, 1), [n], [ids], [raw]], ["k", "copies", *columns[1:]])
 
     given = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
@@ -287,7 +363,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
     marks = dealt.mapInArrow(look, f"{whole}, no long, parts long, head binary, tail binary")
     sure = marks.groupBy("k", "sha").applyInArrow(agree, f"k {kind}, sha string, no long, piece long, first long, past long").withColumnsRenamed({"k": "k_", "sha": "sha_", "no": "no_"})
     met = dealt.join(sure, F.col("k").eqNullSafe(F.col("k_")) & (F.col("sha") == F.col("sha_")) & (F.col("no") == F.col("no_")))
-    written = met.select("k", "sha", "copies", "no", "piece", "first", "past", "part").groupBy("k", "sha", "piece").applyInArrow(write, f"{whole}, piece long, digits binary, raw binary")
+    written = met.select("k", "sha", "copies", "no", "piece", "first", "past", "part").groupBy("k", "sha", "piece").applyInArrow(write, f"{whole}, piece long, ids binary, raw binary")
     joined = (
         written.groupBy("k", "sha").applyInArrow(join, f"k {kind}, copies long, n_tokens long, ids_sha256 string, decoded_sha256 string")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from knockwork.llm.components import components
 from knockwork.llm.scratch import Scratch, by_bucket
 from knockwork.llm.sieve import Sieve, free
-from knockwork.llm.textscan import U, blocks, scan, xxh64
+from knockwork.llm.textscan import U, blocks, released, released_group, scan, xxh64
 
 #: Fixed values of the contract.
 SHINGLE = 3
@@ -79,6 +79,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", also:
     """``key``, fingerprint (a signed long of the same bits) and the columns ``also`` (longs) of every row."""
     also = also or []
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(1)
@@ -97,6 +98,7 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
     buckets = max(64, -(-count * per_print // BUCKET_VARIANTS))
     step = BUCKET_VARIANTS // len(MASKS)
 
+    @released
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Variants by bucket: 8 bytes each and the number of the mask that made them."""
         for batch in batches:
@@ -115,6 +117,7 @@ def links(distinct: DataFrame, count: int) -> DataFrame:
                     ["bucket", "variants", "masks"],
                 )
 
+    @released_group
     def meet(table: pa.Table) -> pa.Table:
         """A star for every variant that two fingerprints share, around one at distance 0 or 1 from it."""
         variant = np.concatenate([np.frombuffer(x, U) for x in table.column("variants").to_pylist()])

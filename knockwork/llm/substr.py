@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from knockwork.llm.scratch import Scratch, by_bucket
 from knockwork.llm.sieve import Sieve, free
-from knockwork.llm.textscan import U, Words, blocks, rolling, scan, xxh64
+from knockwork.llm.textscan import U, Words, blocks, released, released_group, rolling, scan, xxh64
 
 #: Fixed value of the contract: words of a window.
 WINDOW = 50
@@ -190,6 +190,7 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
     total = given.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     bits = _bucket_bits(total // 6)
 
+    @released
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words in _row_blocks(batches):
             ids, row = np.asarray(part.column(0)), words.text_of()
@@ -215,6 +216,7 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
             send, code = send[order], code[order]
             yield _send((h[send] >> U(64 - bits)).astype(np.int64), doc[send], doc[send] * 0, code, ((h[send], ANCHOR_BYTES),))
 
+    @released_group
     def answer(table: pa.Table) -> pa.Table:
         if table.column("bucket")[0].as_py() < 0:
             return table
@@ -230,6 +232,7 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
     sent = given.mapInArrow(probe, _SENT)
     hits = scratch.keep(_by_document(sent, answer, bits), "hits")
 
+    @released
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words in _row_blocks(_opened(batches, 2)):
             ids, tags = np.asarray(part.column(0)), np.asarray(part.column(1))
@@ -256,6 +259,7 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
             wait = ~gone
             yield _send((h[wait] >> U(64 - bits)).astype(np.int64), doc[wait], tag[wait], place[wait], ((h[wait], 8), (more[wait], 4)))
 
+    @released_group
     def compare(table: pa.Table) -> pa.Table:
         if table.column("bucket")[0].as_py() < 0:
             return table
@@ -309,6 +313,7 @@ def digests(docs: DataFrame, text: str = "text", key: str = "doc_id", window: in
     kind = docs.schema[key].dataType.simpleString()
     result = f"k {kind}, n_words long, n_removed long, kept_sha256 string"
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words in _row_blocks(batches):
             rows = [_kept_parts(words, d, raw, window) for d, raw in enumerate(part.column(1).to_pylist())]

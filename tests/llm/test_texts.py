@@ -67,7 +67,7 @@ def test_ids_and_bytes(codec, library):
     for _ in range(400):
         text = "".join(rng.choice("abAB 's\t\n\x1c\x85éß中🎉1'll  ") for _ in range(rng.randint(0, 50)))
         assert codec.encode(text) == library.encode_ordinary(text)
-        assert codec.decode(codec.encode(text)) == text.encode()
+        assert codec.decode(" ".join(map(str, codec.encode(text))).encode()) == text.encode()
         for chunk, overlap in ((7, 3), (16, 8), (5, 0)):
             assert bytebpe.pieces(text, codec.pattern.findall, chunk, overlap) == codec.pattern.findall(text)
             assert codec.encode(text, chunk, overlap) == library.encode_ordinary(text)
