@@ -21,7 +21,6 @@ import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from functools import lru_cache
 from itertools import accumulate, chain
 
 import numpy as np
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 
 from knockwork.llm import vocab
 from knockwork.llm.merging import merge, uncollected
-from knockwork.llm.textscan import blocks, released
+from knockwork.llm.textscan import blocks, kept, released
 
 #: Characters of a chunk and of its overlap with the next; chunks of a text from which on they are dealt out.
 CHUNK, OVERLAP, SPREAD = 1 << 12, 1 << 8, 64
@@ -127,12 +126,6 @@ class Codec(dict):
         return [m.end() for m in self.pattern.finditer(text)]
 
 
-@lru_cache(1)
-def codec_of(data: bytes, pattern: str, runs: str | None) -> Codec:
-    """A worker's codec, which later tasks of the worker go on with."""
-    return Codec(data, pattern, runs)
-
-
 class Pairs:
     """Which two tokens make a third, for merging many pre-tokens at once in numpy."""
 
@@ -256,7 +249,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", k
     data = docs.sparkSession.sparkContext.broadcast(vocab.read(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(data.value, pattern, runs)
+        codec = Codec(data.value, pattern, runs)
         for batch in batches:
             yield pa.record_batch([batch.column(0), pa.array([codec.encode(t or "") for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))], ["k", "ids"])
 
@@ -290,8 +283,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
 
     @released
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(data.value, pattern, runs)
-        with uncollected():
+        with uncollected(), kept(("codec", data.value, pattern, runs), lambda: Codec(data.value, pattern, runs)) as codec:
             for batch in batches:
                 found = []
                 for a, b in blocks(np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)), BLOCK):
@@ -314,7 +306,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
                     )
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_of(data.value, pattern, runs)
+        codec = Codec(data.value, pattern, runs)
         for batch in batches:
             heads, tails = [], []
             for no, n, part in zip(*(batch.column(c).to_pylist() for c in (3, 4, 5)), strict=True):
@@ -342,7 +334,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
     def write(table: pa.Table) -> pa.Table:
         """The ids and bytes of a piece's chunks: of one, but for those after the last shared boundary."""
         table = table.sort_by("no")
-        codec = codec_of(data.value, pattern, runs)
+        codec = Codec(data.value, pattern, runs)
         parts, first, past = table.column("part").to_pylist(), table.column("first")[0].as_py(), table.column("past")[0].as_py()
         said = "".join([*(p[:chunk] for p in parts[:-1]), parts[-1]])
         ids = codec.written(pieces(said[first : len(said) if past < 0 else chunk + past], codec.units, chunk, overlap))

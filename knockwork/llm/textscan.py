@@ -6,8 +6,10 @@ no character is ever cut.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
+import threading
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -40,6 +42,32 @@ def give_back() -> None:
         trim(0)
 
 
+#: Seconds after its last task in which a worker still has what it kept.
+IDLE = 4.0
+_kept: dict = {}
+
+
+@contextlib.contextmanager
+def kept(key: tuple, make: Callable[[], object]) -> Iterator[object]:
+    """What ``make`` gives, kept by the worker for tasks that follow at once and ask for the same; one thing at a time."""
+    if timer := _kept.pop("timer", None):
+        timer.cancel()
+    if _kept.get("key") != key:
+        _kept.clear()
+        _kept.update(key=key, value=make())
+    try:
+        yield _kept["value"]
+    finally:
+        _kept["timer"] = timer = threading.Timer(IDLE, _forget)
+        timer.daemon = True
+        timer.start()
+
+
+def _forget() -> None:
+    _kept.clear()
+    give_back()
+
+
 def released(f: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
     """A function over batches that gives memory back when its task ends."""
 

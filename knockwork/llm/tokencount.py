@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from knockwork.llm import vocab
 from knockwork.llm.merging import merge, uncollected
-from knockwork.llm.textscan import released
+from knockwork.llm.textscan import kept, released
 
 #: Fixed values of the vocabulary's library: how words are cut.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -75,20 +75,13 @@ class Counter(dict):
         return n
 
 
-@lru_cache(1)
-def counter_of(data: bytes) -> Counter:
-    """A worker's counter, which later tasks of the worker go on with."""
-    return Counter(data)
-
-
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, n_bytes, n_tokens and over_limit for every row, in one pass without a shuffle."""
     data = docs.sparkSession.sparkContext.broadcast(vocab.read(vocabulary))
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = counter_of(data.value)
-        with uncollected():
+        with uncollected(), kept(("counter", data.value), lambda: Counter(data.value)) as counter:
             for batch in batches:
                 n = [counter.count(t) if t else 0 for t in batch.column(1).to_pylist()]
                 yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n, pa.int64())], ["k", "n_bytes", "n_tokens"])
