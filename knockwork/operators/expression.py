@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SCALE = 10_000
 CLIP = 10.0
+#: Cells of a slice that a task holds, those it holds as dense rows at once, and rows of a table of products that travel together.
+CHUNK, DENSE, GRAM_ROWS = 4096, 512, 128
 
 
 def log_normalize(counts: DataFrame, cells: DataFrame, scale: float = SCALE) -> DataFrame:
@@ -36,75 +43,146 @@ def _loess(x: np.ndarray, y: np.ndarray, span: float = 0.3) -> np.ndarray:
     return np.interp(x, at, fit)
 
 
-def variable_genes(counts: DataFrame, n_cells: int, most: int = 2000) -> DataFrame:
-    """(gene_id, mean, variance, expected, std_variance, rank) of the ``most`` genes of largest standardised variance.
+def sliced(cells: DataFrame, control: str, targets: list[str]) -> DataFrame:
+    """(slice, cell_id, target) of every target's own cells and all control cells; a slice has its target's name."""
+    each = F.when(F.col("target") == control, F.array(*map(F.lit, targets))).otherwise(F.array("target"))
+    return cells.filter(F.col("target").isin([*targets, control])).select(F.explode(each).alias("slice"), "cell_id", "target")
+
+
+def one_slice(cells: DataFrame) -> DataFrame:
+    """All cells as one slice, whose name is ''."""
+    return cells.select(F.lit("").alias("slice"), "cell_id", F.lit("").alias("target"))
+
+
+def _by_slice(sums: DataFrame, slices: DataFrame) -> DataFrame:
+    """Sums by label (``target``) as rows of every slice that has cells of the label: those of the control are made once for all."""
+    return sums.join(F.broadcast(slices.select("slice", "target").distinct()), "target").drop("target")
+
+
+def variable_genes(counts: DataFrame, n_cells: int | None = None, most: int = 2000, slices: DataFrame | None = None) -> DataFrame:
+    """(slice, gene_id, mean, variance, expected, std_variance, rank) of the ``most`` genes of largest standardised variance in each slice.
 
     The expected variance is a local fit of log variance by log mean; standardised
-    values are clipped at the root of the number of cells. Zeros enter by formula. What the driver
-    holds is a row for each gene.
+    values are clipped at the root of the number of cells. Zeros enter by formula. Counts are read
+    once, as the number of cells of a label that have a gene at a count; a task fits
+    one slice and holds a row for each of its genes. Without ``slices`` all cells are one, of
+    ``n_cells``, and there is no column for it.
     """
-    spark = counts.sparkSession
-    n = float(n_cells)
-    stats = counts.groupBy("gene_id").agg(F.sum("count").alias("s"), F.sum(F.col("count") * F.col("count")).alias("ss"), F.count("*").alias("k"))
-    stats = stats.select("gene_id", (F.col("s") / n).alias("mean"), ((F.col("ss") - F.col("s") * F.col("s") / n) / max(n - 1, 1)).alias("variance"), "k")
-    table = stats.toPandas()
-    good = table["variance"] > 0
-    table["expected"] = 0.0
-    if good.any():
-        logm, logv = np.log10(table.loc[good, "mean"].to_numpy()), np.log10(table.loc[good, "variance"].to_numpy())
-        table.loc[good, "expected"] = 10 ** _loess(logm, logv)
-    fitted = spark.createDataFrame(table[["gene_id", "mean", "variance", "expected", "k"]]) if len(table) else stats.withColumn("expected", F.lit(0.0))
-    top = float(np.sqrt(n))
-    z = F.least(F.lit(top), (F.col("count") - F.col("mean")) / F.sqrt("expected"))
-    zero = F.least(F.lit(top), -F.col("mean") / F.sqrt("expected"))
-    parts = counts.join(fitted.filter("expected > 0"), "gene_id").groupBy("gene_id", "mean", "variance", "expected", "k").agg(F.sum(z * z).alias("zz"))
-    scored = parts.withColumn("std_variance", (F.col("zz") + (n - F.col("k")) * zero * zero) / max(n - 1, 1))
-    best = scored.orderBy(F.col("std_variance").desc(), "gene_id").limit(most)
-    return best.select("gene_id", "mean", "variance", "expected", "std_variance", F.row_number().over(W.orderBy(F.col("std_variance").desc(), "gene_id")).alias("rank"))
-
-
-def pca(expr: DataFrame, cells: DataFrame, genes: DataFrame, k: int = 50) -> DataFrame:
-    """(cell_id, embedding): principal components of scaled expression of the chosen genes.
-
-    Scaling clips at 10 deviations. A cell's vector holds only the chosen genes, 2,000 as a
-    rule. Each component's sign is that which makes its largest loading positive.
+    if slices is None:
+        spread = counts.withColumn("target", F.lit(""))
+        sizes = counts.sparkSession.createDataFrame([("", float(n_cells))], "slice string, n double")
+        names = sizes.select("slice", F.lit("").alias("target"))
+    else:
+        spread = counts.join(slices.select("cell_id", "target").distinct(), "cell_id")
+        sizes = slices.groupBy("slice").agg(F.count("*").cast("double").alias("n"))
+        names = slices
+    times = spread.groupBy("target", "gene_id", F.col("count").cast("double").alias("count")).agg(F.count("*").cast("double").alias("cells"))
+    held = _by_slice(times, names)
+    c, w = F.col("count"), F.col("cells")
+    stats = held.groupBy("slice", "gene_id").agg(F.sum(c * w).alias("s"), F.sum(c * c * w).alias("ss"), F.sum(w).alias("k")).join(sizes, "slice")
+    stats = stats.select("slice", "gene_id", "n", (F.col("s") / F.col("n")).alias("mean"), ((F.col("ss") - F.col("s") * F.col("s") / F.col("n")) / F.greatest(F.col("n") - 1, F.lit(1.0))).alias("variance"), "k")
+
+    def fit(table: pd.DataFrame) -> pd.DataFrame:
+        good, expected = (table["variance"] > 0).to_numpy(), np.zeros(len(table))
+        if good.any():
+            expected[good] = 10 ** _loess(np.log10(table["mean"].to_numpy()[good]), np.log10(table["variance"].to_numpy()[good]))
+        return table.assign(expected=expected)
+
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema)
+    fitted = stats.groupBy("slice").applyInPandas(fit, f"{kind}, expected double").filter("expected > 0")
+    top = F.sqrt("n")
+    z = F.least(top, (c - F.col("mean")) / F.sqrt("expected"))
+    zero = F.least(top, -F.col("mean") / F.sqrt("expected"))
+    parts = held.join(fitted, ["slice", "gene_id"]).groupBy("slice", "gene_id", "mean", "variance", "expected", "k", "n").agg(F.sum(z * z * w).alias("zz"))
+    scored = parts.withColumn("std_variance", (F.col("zz") + (F.col("n") - F.col("k")) * zero * zero) / F.greatest(F.col("n") - 1, F.lit(1.0)))
+    best = scored.withColumn("rank", F.row_number().over(W.partitionBy("slice").orderBy(F.col("std_variance").desc(), "gene_id"))).filter(F.col("rank") <= most)
+    return best.select(*([] if slices is None else ["slice"]), "gene_id", "mean", "variance", "expected", "std_variance", "rank")
+
+
+def pca(expr: DataFrame, slices: DataFrame, genes: DataFrame, k: int = 50) -> DataFrame:
+    """(slice, cell_id, embedding): principal components of scaled expression of each slice's ``genes`` (slice, gene_id).
+
+    Scaling clips at 10 deviations. Cells travel as the expressed ones of the chosen genes; a task
+    holds ``CHUNK`` cells of a slice, ``DENSE`` of them as dense rows at once, and sums their
+    products; a slice's table of products, 2,000 by 2,000 as a rule, is decomposed in one
+    task. Each component's sign is that which makes its largest loading positive.
     """
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    n = cells.count()
-    chosen = sorted(r[0] for r in genes.select("gene_id").collect())
-    k = min(k, len(chosen))
-    used = expr.join(F.broadcast(genes.select("gene_id")), "gene_id")
-    stats = {r[0]: (r[1], r[2]) for r in used.groupBy("gene_id").agg(F.sum("expr"), F.sum(F.col("expr") * F.col("expr"))).collect()}
-    mean = np.array([stats.get(g, (0, 0))[0] / n for g in chosen])
-    sd = np.sqrt(np.clip([(stats.get(g, (0, 0))[1] - n * m * m) / max(n - 1, 1) for g, m in zip(chosen, mean, strict=True)], 0, None))
-    spark: SparkSession = expr.sparkSession
-    sent = spark.sparkContext.broadcast((chosen, mean, np.where(sd > 0, sd, 1.0)))
-    held = used.groupBy("cell_id").agg(F.collect_list(F.struct("gene_id", "expr")).alias("e"))
-    rows = cells.select("cell_id").join(held, "cell_id", "left")
-
-    @F.pandas_udf("array<double>")
-    def dense(e):
-        names, m, s = sent.value
-        place = {g: i for i, g in enumerate(names)}
-        out = []
-        for cell in e:
-            v = np.zeros(len(names))
-            for x in cell if cell is not None else ():
-                v[place[x["gene_id"]]] = x["expr"]
-            out.append(np.clip((v - m) / s, -CLIP, CLIP))
-        return type(e)(out)
-
-    vectors = rows.select("cell_id", array_to_vector(dense("e")).alias("v")).persist()
-    model = PCA(k=k, inputCol="v", outputCol="p").fit(vectors)
-    loadings = model.pc.toArray()
-    sign = np.sign(loadings[np.abs(loadings).argmax(0), np.arange(loadings.shape[1])])
-    out = model.transform(vectors).select("cell_id", F.zip_with(vector_to_array("p"), F.array(*map(F.lit, sign.tolist())), lambda a, b: a * b).alias("embedding"))
-    return out
-
-
-def embed(counts: DataFrame, cells: DataFrame, variable: int = 2000, k: int = 50) -> tuple[DataFrame, DataFrame]:
-    """(expr, embedding) of a slice of cells."""
+    kind = expr.schema["cell_id"].dataType.simpleString()
+    sizes = slices.groupBy("slice").agg(F.count("*").cast("double").alias("n"))
+    named = genes.select("slice", "gene_id").withColumn("place", F.row_number().over(W.partitionBy("slice").orderBy("gene_id")) - 1)
+    wanted = expr.join(genes.select("gene_id").distinct(), "gene_id", "left_semi")
+    labels = slices.select("cell_id", "target").distinct()
+    sums = wanted.join(labels, "cell_id").groupBy("target", "gene_id").agg(F.sum("expr").alias("s"), F.sum(F.col("expr") * F.col("expr")).alias("ss"))
+    moments = _by_slice(sums, slices).groupBy("slice", "gene_id").agg(F.sum("s").alias("s"), F.sum("ss").alias("ss"))
+    mean = F.coalesce("s", F.lit(0.0)) / F.col("n")
+    var = (F.coalesce("ss", F.lit(0.0)) - F.col("n") * mean * mean) / F.greatest(F.col("n") - 1, F.lit(1.0))
+    scaled = named.join(sizes, "slice").join(moments, ["slice", "gene_id"], "left").select("slice", "gene_id", "place", mean.alias("m"), F.when(var > 0, F.sqrt(var)).otherwise(1.0).alias("sd"))
+    listed = F.sort_array(F.collect_list(F.struct("place", "m", "sd"))).alias("g")
+    tables = scaled.groupBy("slice").agg(listed).join(sizes, "slice").select("slice", F.transform("g", lambda x: x["m"]).alias("m"), F.transform("g", lambda x: x["sd"]).alias("sd"), F.ceil(F.col("n") / CHUNK).alias("parts"))
+    chunk = F.pmod(F.xxhash64("cell_id"), F.col("parts")).alias("chunk")
+    members = slices.join(F.broadcast(tables.select("slice", "parts")), "slice").select("slice", "cell_id", chunk)
+    values = wanted.join(members, "cell_id").join(named, ["slice", "gene_id"]).groupBy("slice", "chunk", "cell_id").agg(F.collect_list("place").alias("places"), F.collect_list("expr").alias("values"))
+    rows = members.join(values, ["slice", "chunk", "cell_id"], "left")
+    spread = tables.select("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("chunk"), "m", "sd")
+
+    def dense(table: pa.Table, m: np.ndarray, sd: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        zero = np.clip(-m / sd, -CLIP, CLIP)
+        for at in range(0, table.num_rows, DENSE):
+            part = table.slice(at, DENSE).combine_chunks()
+            places, values = (part.column(c).combine_chunks().fill_null([]) if part.num_rows else None for c in ("places", "values"))
+            x = np.tile(zero, (part.num_rows, 1))
+            row = np.repeat(np.arange(part.num_rows), np.asarray(pc.list_value_length(places)))
+            place, value = np.asarray(places.flatten()), np.asarray(values.flatten())
+            x[row, place] = np.clip((value - m[place]) / sd[place], -CLIP, CLIP)
+            yield at, x
+
+    def products(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Sums of products of a chunk's columns, some rows of the table at a time, and the columns' sums as its last row."""
+        if not left.num_rows:
+            return pa.table({"slice": pa.array([], pa.string()), "block": pa.array([], pa.int64()), "sums": pa.array([], pa.binary())})
+        m, sd = (np.asarray(right.column(c)[0].values, float) for c in ("m", "sd"))
+        out = np.zeros((len(m) + 1, len(m)))
+        for _, x in dense(left, m, sd):
+            out[:-1] += x.T @ x
+            out[-1] += x.sum(0)
+        blocks = [out[i : i + GRAM_ROWS].tobytes() for i in range(0, len(out), GRAM_ROWS)]
+        return pa.table({"slice": pa.array([left.column("slice")[0].as_py()] * len(blocks), pa.string()), "block": pa.array(range(len(blocks)), pa.int64()), "sums": pa.array(blocks, pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer()) for x in table.column("sums"))
+        return table.slice(0, 1).set_column(2, "sums", pa.array([total.tobytes()], pa.binary()))
+
+    def decompose(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"slice": pa.array([], pa.string()), "loadings": pa.array([], pa.binary())})
+        left = left.sort_by("block")
+        n, size = right.column("n")[0].as_py(), right.column("size")[0].as_py()
+        table = np.concatenate([np.frombuffer(x.as_buffer()) for x in left.column("sums")]).reshape(-1, size)
+        centre = table[-1] / n
+        values, vectors = np.linalg.eigh((table[:-1] - n * np.outer(centre, centre)) / max(n - 1, 1))
+        vectors = vectors[:, ::-1][:, : min(k, size)]
+        vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(0), np.arange(vectors.shape[1])])
+        return pa.table({"slice": pa.array([left.column("slice")[0].as_py()], pa.string()), "loadings": pa.array([np.ascontiguousarray(vectors).tobytes()], pa.binary())})
+
+    def project(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        if left.num_rows and right.num_rows:
+            m, sd = (np.asarray(right.column(c)[0].values, float) for c in ("m", "sd"))
+            w = np.frombuffer(right.column("loadings")[0].as_buffer()).reshape(len(m), -1)
+            found = [x for _, z in dense(left, m, sd) for x in (z @ w).tolist()]
+        return pa.table([left.column("slice").slice(0, len(found)), left.column("cell_id").slice(0, len(found)), pa.array(found, pa.list_(pa.float64()))], ["slice", "cell_id", "embedding"])
+
+    by = ("slice", "chunk")
+    partial = rows.groupBy(*by).cogroup(spread.groupBy(*by)).applyInArrow(products, "slice string, block long, sums binary")
+    whole = partial.groupBy("slice", "block").applyInArrow(add, "slice string, block long, sums binary")
+    shape = tables.join(sizes, "slice").select("slice", "n", F.size("m").alias("size"))
+    loadings = whole.groupBy("slice").cogroup(shape.groupBy("slice")).applyInArrow(decompose, "slice string, loadings binary")
+    return rows.groupBy(*by).cogroup(spread.join(loadings, "slice").groupBy(*by)).applyInArrow(project, f"slice string, cell_id {kind}, embedding array<double>")
+
+
+def embed(counts: DataFrame, cells: DataFrame, variable: int = 2000, k: int = 50, slices: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(expr, embedding) of each slice of cells; without ``slices`` all cells are one and there is no column for it."""
     expr = log_normalize(counts, cells)
-    return expr, pca(expr, cells, variable_genes(counts, cells.count(), variable), k)
+    given = one_slice(cells) if slices is None else slices
+    embedding = pca(expr, given, variable_genes(counts, None, variable, given), k)
+    return expr, embedding.drop("slice") if slices is None else embedding

@@ -9,16 +9,18 @@ holds one gene's counts over the cells of its design, never a matrix.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knockwork.functions.columns import finite
 from knockwork.functions.stats import wald_p
 
-#: Cells of all designs that are broadcast at once; more targets are fitted in blocks.
-MAX_DESIGN_CELLS = 4_000_000
+#: Genes of a fit group that are fitted in one task, beside one copy of the group's design.
+GENES = 64
 #: Cells on which dispersions are fitted when subsampling.
 SUBSAMPLE = 1000
 _GRID = np.linspace(math.log(1e-4), math.log(1e2), 25)
@@ -59,9 +61,18 @@ def _deviance(y: np.ndarray, mu: np.ndarray, phi: float) -> float:
 
 
 def irls(y: np.ndarray, x: np.ndarray, phi: float, rounds: int = 50) -> tuple[np.ndarray, np.ndarray] | None:
-    """(coefficients, means) of a log-link fit with halved steps; None where it's singular or doesn't settle."""
+    """(coefficients, means) of a log-link fit; a fit that fails is tried again from the mean alone. None where both fail."""
+    if found := _irls(y, x, phi, np.log(y + 0.1), rounds):
+        return found
+    if not len(y) or np.linalg.matrix_rank(x) < x.shape[1]:
+        return None
+    return _irls(y, x, phi, np.full(len(y), math.log(max(float(y.mean()), 1e-8))), rounds)
+
+
+def _irls(y: np.ndarray, x: np.ndarray, phi: float, begin: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """With halved steps, from coefficients that fit ``begin``; None where it's singular or doesn't settle."""
     try:
-        beta = np.linalg.lstsq(x, np.log(y + 0.1), rcond=None)[0]
+        beta = np.linalg.lstsq(x, begin, rcond=None)[0]
         mu = np.exp(np.clip(x @ beta, -30, 30))
         dev = _deviance(y, mu, phi)
         for _ in range(rounds):
@@ -169,64 +180,43 @@ def fit(counts: DataFrame, design: DataFrame, genes: DataFrame, loo_weights: Dat
     counts and fits that fail have null arrays.
     """
     strata = strata or []
-    sizes = [(r[0], r[1]) for r in design.groupBy("target").count().orderBy("target").collect()]
-    blocks, room = [[]], MAX_DESIGN_CELLS
-    for target, n in sizes:
-        if blocks[-1] and n > room:
-            blocks.append([])
-            room = MAX_DESIGN_CELLS
-        blocks[-1].append(target)
-        room -= n
-    out = None
-    for block in blocks:
-        part = _fit_block(counts, design.filter(F.col("target").isin(block)), genes.filter(F.col("target").isin(block)), loo_weights.filter(F.col("target").isin(block)) if loo_weights is not None else None, strata, subsample)
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _fit_block(counts: DataFrame, design: DataFrame, genes: DataFrame, loo: DataFrame | None, strata: list[str], subsample: bool) -> DataFrame:
-    spark = counts.sparkSession
-    held = {}
-    for target, part in design.select("target", "cell_id", "cell_type", "weight", "log_ct").toPandas().groupby("target"):
-        part = part.sort_values("cell_id").reset_index(drop=True)
-        level = part["cell_type"].map({s: i for i, s in enumerate(strata)}).fillna(0).to_numpy(int)
-        held[target] = {"place": {c: i for i, c in enumerate(part["cell_id"])}, "log_ct": part["log_ct"].to_numpy(float), "level": level, "weight": {"main": part["weight"].to_numpy(float)}}
-    if loo is not None:
-        wanted = genes.filter("fit_group <> 'main'").select("target", F.col("fit_group").alias("loo_gene")).distinct()
-        for (target, gene), part in loo.join(wanted, ["target", "loo_gene"]).select("target", "loo_gene", "cell_id", "weight").toPandas().groupby(["target", "loo_gene"]):
-            if target in held:
-                w = np.zeros(len(held[target]["log_ct"]))
-                for c, v in zip(part["cell_id"], part["weight"], strict=True):
-                    if c in held[target]["place"] and v is not None and math.isfinite(v):
-                        w[held[target]["place"][c]] = v
-                held[target]["weight"][gene] = w
-    sent = spark.sparkContext.broadcast(held)
     n_strata = max(1, len(strata))
-
-    def data(key: tuple, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-        d = sent.value[key[0]]
-        weight = d["weight"].get(key[1])
-        if weight is None:
-            return None
-        y = np.zeros(len(weight))
-        at = [d["place"][c] for c in rows["cell_id"]]
-        np.add.at(y, at, rows["count"].to_numpy(float))
-        return y, _matrix(weight, d["log_ct"], d["level"], n_strata)
-
     gene_kind, target_kind = dict(genes.dtypes)["gene_id"], dict(genes.dtypes)["target"]
+    group = ["target", "fit_group"]
+    sizes = genes.groupBy(*group).agg(F.ceil(F.count("*") / GENES).alias("blocks"))
+    keyed = genes.select("target", "gene_id", "fit_group").join(F.broadcast(sizes), group).withColumn("block", F.pmod(F.xxhash64("gene_id"), F.col("blocks"))).drop("blocks")
+    level = F.coalesce(F.array_position(F.array(*map(F.lit, strata)), F.col("cell_type")) - 1, F.lit(0)) if strata else F.lit(0)
+    cells = design.select("target", "cell_id", F.greatest(level, F.lit(0)).cast("int").alias("level"), "weight", "log_ct")
+    designs = keyed.filter("fit_group = 'main'").select(*group, "block").distinct().join(cells, "target")
+    if loo_weights is not None:
+        own = loo_weights.select("target", F.col("loo_gene").cast("string").alias("fit_group"), "cell_id", finite(F.col("weight")).alias("own"))
+        alone = keyed.filter("fit_group <> 'main'").select(*group, "block").distinct().join(own.select(*group).distinct(), group, "left_semi")
+        theirs = alone.join(cells.drop("weight"), "target").join(own, [*group, "cell_id"], "left").withColumn("weight", F.coalesce("own", F.lit(0.0)))
+        designs = designs.unionByName(theirs.select(*designs.columns))
+    rows = counts.join(keyed, "gene_id").join(design.select("target", "cell_id"), ["target", "cell_id"]).select(*group, "block", "gene_id", "cell_id", F.col("count").cast("double").alias("count"))
     keys = f"target {target_kind}, fit_group string, gene_id {gene_kind}"
-    cells = design.select("target", "cell_id")
-    rows = counts.join(genes, "gene_id").join(cells, ["target", "cell_id"]).select("target", "fit_group", "gene_id", "cell_id", "count")
-
-    def first(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        mean, phi = math.nan, math.nan
-        if found := data(key, pdf):
-            y, x = found
-            mean = float(y.mean())
+
+    def genes_of(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[object, pd.DataFrame, np.ndarray, np.ndarray]]:
+        """(gene, its rows, counts of all cells, design) of a block, cells in order of their ids."""
+        if not len(left) or not len(right):
+            return
+        right = right.sort_values("cell_id").reset_index(drop=True)
+        place = pd.Index(right["cell_id"])
+        x = _matrix(right["weight"].to_numpy(float), right["log_ct"].to_numpy(float), right["level"].to_numpy(int), n_strata)
+        for gene, part in left.groupby("gene_id", sort=True):
+            y = np.zeros(len(right))
+            np.add.at(y, place.get_indexer(part["cell_id"]), part["count"].to_numpy(float))
+            yield gene, part, y, x
+
+    def first(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for gene, _, y, x in genes_of(left, right):
+            phi = math.nan
             if fitted := irls(y, x, 0.1):
                 at = np.random.default_rng(1).permutation(len(y))[:SUBSAMPLE] if subsample else slice(None)
                 phi = dispersion(y[at], fitted[1][at], x[at])
-        return pd.DataFrame({"target": [key[0]], "fit_group": [key[1]], "gene_id": [key[2]], "mean": [mean], "phi": [phi]})
+            found.append((key[0], key[1], gene, float(y.mean()), phi))
+        return pd.DataFrame(found, columns=["target", "fit_group", "gene_id", "mean", "phi"])
 
     def trend(pdf: pd.DataFrame) -> pd.DataFrame:
         good = pdf["phi"].notna().to_numpy()
@@ -235,15 +225,12 @@ def _fit_block(counts: DataFrame, design: DataFrame, genes: DataFrame, loo: Data
         return pdf.assign(trend=out)
 
     def second(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"target": [], "fit_group": [], "gene_id": [], "mean": [], "phi": [], "beta": [], "var": [], "ql": [], "df": []})
-        if not len(right):
-            return empty
-        phi = float(right["trend"].iloc[0])
-        beta = var = None
-        ql, df = math.nan, 0
-        if len(left) and math.isfinite(phi) and (found := data(key, left)):
-            y, x = found
-            if fitted := irls(y, x, phi):
+        found = []
+        for gene, part, y, x in genes_of(left, right):
+            phi = float(part["trend"].iloc[0])
+            beta = var = None
+            ql, df = math.nan, 0
+            if math.isfinite(phi) and (fitted := irls(y, x, phi)):
                 w = fitted[1] / (1 + phi * fitted[1])
                 try:
                     var = np.diag(np.linalg.inv(x.T @ (x * w[:, None]))).tolist()
@@ -251,7 +238,8 @@ def _fit_block(counts: DataFrame, design: DataFrame, genes: DataFrame, loo: Data
                     ql = _deviance(y, fitted[1], phi) / df if df > 0 else math.nan
                 except np.linalg.LinAlgError:
                     var = None
-        return pd.DataFrame({"target": [key[0]], "fit_group": [key[1]], "gene_id": [key[2]], "mean": [right["mean"].iloc[0]], "phi": [phi], "beta": [beta], "var": [var], "ql": [ql], "df": [df]})
+            found.append((key[0], key[1], gene, part["mean"].iloc[0], phi, beta, var, ql, df))
+        return pd.DataFrame(found, columns=["target", "fit_group", "gene_id", "mean", "phi", "beta", "var", "ql", "df"])
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
         scale = shrink(pdf["ql"].to_numpy(float), pdf["df"].to_numpy(float))
@@ -266,9 +254,11 @@ def _fit_block(counts: DataFrame, design: DataFrame, genes: DataFrame, loo: Data
             p.append([wald_p(b, x) for b, x in zip(beta, e, strict=True)])
         return pdf.assign(se=se, p=p)[["target", "fit_group", "gene_id", "mean", "phi", "beta", "se", "p"]]
 
-    by_gene, by_group = ["target", "fit_group", "gene_id"], ["target", "fit_group"]
-    estimated = rows.groupBy(*by_gene).applyInPandas(first, f"{keys}, mean double, phi double")
-    trended = estimated.groupBy(*by_group).applyInPandas(trend, f"{keys}, mean double, phi double, trend double")
-    fitted = rows.groupBy(*by_gene).cogroup(trended.groupBy(*by_gene)).applyInPandas(second, f"{keys}, mean double, phi double, beta array<double>, var array<double>, ql double, df long")
-    done = fitted.groupBy(*by_group).applyInPandas(finish, f"{keys}, mean double, phi double, beta array<double>, se array<double>, p array<double>")
+    by_gene, by_block = [*group, "gene_id"], [*group, "block"]
+    designs = designs.toDF(*designs.columns)  # columns of its own beside those of the counts
+    estimated = rows.groupBy(*by_block).cogroup(designs.groupBy(*by_block)).applyInPandas(first, f"{keys}, mean double, phi double")
+    trended = estimated.groupBy(*group).applyInPandas(trend, f"{keys}, mean double, phi double, trend double")
+    known = rows.join(trended.select(*by_gene, "mean", "trend"), by_gene)
+    fitted = known.groupBy(*by_block).cogroup(designs.groupBy(*by_block)).applyInPandas(second, f"{keys}, mean double, phi double, beta array<double>, var array<double>, ql double, df long")
+    done = fitted.groupBy(*group).applyInPandas(finish, f"{keys}, mean double, phi double, beta array<double>, se array<double>, p array<double>")
     return genes.select(*by_gene).join(done, by_gene, "left")

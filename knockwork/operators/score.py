@@ -21,29 +21,41 @@ def rank_sum(expr: DataFrame, cells: DataFrame, control: str, targets: list[str]
     """(target, gene_id, log2fc, z, p) of Wilcoxon rank sums between each label and the control.
 
     All cells that don't express a gene are one block of ties, so only stored values are
-    ranked. The change is of log2 mean linear expression plus one.
+    ranked. Control values are put in order once for all labels; a label's values
+    look up how many control cells stand below each and how many tie with it. The
+    change is of log2 mean linear expression plus one.
     """
     used = cells.filter(F.col(label).isin([*targets, control])).select("cell_id", F.col(label).alias("label"))
     size = used.groupBy("label").agg(F.count("*").cast("double").alias("n"))
     held = expr.filter("expr <> 0").join(used, "cell_id")
-    each = F.when(F.col("label") == control, F.array(*map(F.lit, targets))).otherwise(F.array("label"))
-    spread = held.select("gene_id", "expr", (F.col("label") != control).alias("is_p"), F.explode(each).alias("target"))
-    # One row for each value that occurs: ranks need only how many cells have it on either side.
-    ties = spread.groupBy("target", "gene_id", "expr").agg(F.count("*").cast("double").alias("t"), F.sum(F.col("is_p").cast("double")).alias("tp"))
-    below = W.partitionBy("target", "gene_id").orderBy("expr").rowsBetween(W.unboundedPreceding, -1)
-    ranked = ties.withColumn("before", F.coalesce(F.sum("t").over(below), F.lit(0.0)))
+    # One row for each value that occurs: ranks need only how many cells of a label have it.
+    times = held.groupBy("gene_id", "label", "expr").agg(F.count("*").cast("double").alias("t"))
+    is_c = F.col("label") == control
+    of_control = F.sum(F.when(is_c, F.col("t")).otherwise(0.0))
+    same = W.partitionBy("gene_id", "expr")
+    below = W.partitionBy("gene_id").orderBy("expr").rangeBetween(W.unboundedPreceding, W.currentRow)
+    ranked = times.withColumn("c", of_control.over(same)).withColumn("c_below", of_control.over(below) - F.col("c"))
+    cube = lambda x: x ** 3 - x
     linear = F.expm1("expr")
-    stats = ranked.groupBy("target", "gene_id").agg(
-        F.sum(F.col("tp") * (F.col("before") + (F.col("t") + 1) / 2)).alias("rank_p"), F.sum("t").alias("k"), F.sum("tp").alias("kp"),
-        F.sum(F.col("t") ** 3 - F.col("t")).alias("tied"), F.sum(F.col("tp") * linear).alias("sp"), F.sum((F.col("t") - F.col("tp")) * linear).alias("sn"))
+    theirs = ranked.filter(is_c).groupBy("gene_id").agg(F.sum("t").alias("kn"), F.sum(cube(F.col("t"))).alias("tied_n"), F.sum(F.col("t") * linear).alias("sn"))
+    own = W.partitionBy("label", "gene_id").orderBy("expr").rowsBetween(W.unboundedPreceding, -1)
+    ours = ranked.filter(~is_c).withColumn("before", F.col("c_below") + F.coalesce(F.sum("t").over(own), F.lit(0.0)))
+    tie = F.col("t") + F.col("c")
+    ours = ours.groupBy(F.col("label").alias("target"), "gene_id").agg(
+        F.sum(F.col("t") * (F.col("before") + (tie + 1) / 2)).alias("rank_p"), F.sum("t").alias("kp"),
+        F.sum(cube(tie) - cube(F.col("c"))).alias("tied_p"), F.sum(F.col("t") * linear).alias("sp"))
+    each = theirs.select(F.explode(F.array(*map(F.lit, targets))).alias("target"), "gene_id", "kn", "tied_n", "sn")
+    zero = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("rank_p", "kp", "tied_p", "sp", "kn", "tied_n", "sn")]
+    stats = each.join(ours, ["target", "gene_id"], "full").select("target", "gene_id", *zero)
     p = size.filter(F.col("label") != control).select(F.col("label").alias("target"), F.col("n").alias("np"))
-    n = size.filter(F.col("label") == control).select(F.col("n").alias("nn"))
-    sized = stats.join(F.broadcast(p), "target").join(F.broadcast(n))
+    controls = F.broadcast(size.filter(is_c).select(F.lit(True).alias("any"), F.col("n").alias("nn")))
+    sized = stats.join(F.broadcast(p), "target").withColumn("any", F.lit(True)).join(controls, "any")
     total = F.col("np") + F.col("nn")
-    zeros = total - F.col("k")
+    zeros = total - F.col("kn") - F.col("kp")
+    tied = F.col("tied_n") + F.col("tied_p")
     ranks = F.col("rank_p") + F.col("kp") * zeros + (F.col("np") - F.col("kp")) * (zeros + 1) / 2
     u = ranks - F.col("np") * (F.col("np") + 1) / 2
-    spread_of = F.col("np") * F.col("nn") / 12 * (total + 1 - (F.col("tied") + zeros ** 3 - zeros) / (total * (total - 1)))
+    spread_of = F.col("np") * F.col("nn") / 12 * (total + 1 - (tied + zeros ** 3 - zeros) / (total * (total - 1)))
     out = sized.select(
         "target", "gene_id", (F.log2(F.col("sp") / F.col("np") + 1) - F.log2(F.col("sn") / F.col("nn") + 1)).alias("log2fc"),
         F.when(spread_of > 0, (u - F.col("np") * F.col("nn") / 2) / F.sqrt(spread_of)).alias("z"))
@@ -61,18 +73,29 @@ def score_genes(tests: DataFrame, n_genes: int, logfc_threshold: float = 0.0, mi
 def projection_scores(signature: DataFrame, cells: DataFrame, control: str, genes: DataFrame, scale: bool = True) -> tuple[DataFrame, DataFrame]:
     """(scores, leave-one-out scores) of each target's and all control cells, by target.
 
-    The vector is the difference of mean signatures; a score is a cell's projection on it.
-    Leaving a gene out takes its part from both sums, so no score is made twice. Pairs
-    without a row are zeros: scaling shifts every cell by the same amount, taken once.
+    ``signature`` is (cell_id, gene_id, prtb), for all targets alike or, with a column
+    ``slice``, for each of its own. The vector is the difference of mean signatures; a score is a
+    cell's projection on it. Leaving a gene out takes its part from both sums, so no
+    score is made twice. Pairs without a row are zeros: scaling shifts every cell by the same
+    amount, taken once.
     """
-    targets = genes.select("target").distinct()
-    own = cells.join(targets, "target", "left_semi").select("target", "cell_id", F.col("target").alias("gene"))
-    theirs = cells.filter(F.col("target") == control).select("cell_id", F.col("target").alias("gene"))
-    members = own.unionByName(targets.join(theirs))
+    wanted = genes.select("target", "gene_id")
+    targets = wanted.groupBy(F.lit(True).alias("any")).agg(F.collect_set("target").alias("targets"))
+    own = cells.join(F.broadcast(wanted.select("target").distinct()), "target", "left_semi").select("target", "cell_id", F.col("target").alias("gene"))
+    theirs = cells.filter(F.col("target") == control).select("cell_id", F.col("target").alias("gene"), F.lit(True).alias("any")).join(F.broadcast(targets), "any")
+    members = own.unionByName(theirs.select(F.explode("targets").alias("target"), "cell_id", "gene"))
     size = members.groupBy("target").agg(F.count("*").cast("double").alias("n"), F.sum((F.col("gene") == F.col("target")).cast("double")).alias("np"))
-    x = signature.join(genes.select("target", "gene_id"), "gene_id").join(members, ["target", "cell_id"])
+    labelled = signature.join(cells.select("cell_id", F.col("target").alias("gene")), "cell_id")
+    if "slice" in signature.columns:
+        labelled, on = labelled.withColumnRenamed("slice", "target"), ["target", "gene_id"]
+    else:
+        on = ["gene_id"]
+    # Of each label, what its cells have of a gene; the control's is made once and joined to every target.
+    by = [c for c in ("target", "gene") if c in labelled.columns]
+    label_sums = labelled.groupBy(*by, "gene_id").agg(F.sum("prtb").alias("s"), F.sum(F.col("prtb") * F.col("prtb")).alias("ss"))
     is_p = F.col("gene") == F.col("target")
-    sums = x.groupBy("target", "gene_id").agg(F.sum("prtb").alias("s"), F.sum(F.col("prtb") * F.col("prtb")).alias("ss"), F.sum(F.when(is_p, F.col("prtb")).otherwise(0.0)).alias("sp"))
+    sums = label_sums.join(wanted, on).filter(is_p | (F.col("gene") == control)).groupBy("target", "gene_id").agg(
+        F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.sum(F.when(is_p, F.col("s")).otherwise(0.0)).alias("sp"))
     full = sums.join(size, "target")
     mean = F.col("s") / F.col("n")
     sd = F.sqrt(F.greatest(F.lit(0.0), ratio(F.col("ss") - F.col("n") * mean * mean, F.col("n") - 1)))
@@ -80,10 +103,13 @@ def projection_scores(signature: DataFrame, cells: DataFrame, control: str, gene
     v = (ratio(F.col("sp"), F.col("np")) - ratio(F.col("s") - F.col("sp"), F.col("n") - F.col("np"))) / F.col("sd")
     vector = full.select("target", "gene_id", finite(v).alias("v"), "m", "sd").filter("v is not null")
     norm = vector.groupBy("target").agg(F.sum(F.col("v") * F.col("v")).alias("vv"), F.sum(F.col("v") * F.col("m") / F.col("sd")).alias("shift"))
-    dots = x.join(vector, ["target", "gene_id"]).groupBy("target", "cell_id").agg(F.sum(F.col("prtb") * F.col("v") / F.col("sd")).alias("xv"))
-    base = members.join(dots, ["target", "cell_id"], "left").join(F.broadcast(norm), "target").withColumn("num", F.coalesce("xv", F.lit(0.0)) - F.col("shift"))
+    x = labelled.join(vector, on).filter(is_p | (F.col("gene") == control))
+    parts = x.groupBy("target", "cell_id").agg(F.sum(F.col("prtb") * F.col("v") / F.col("sd")).alias("xv"), F.map_from_entries(F.collect_list(F.struct("gene_id", "prtb"))).alias("has"))
+    base = members.join(parts, ["target", "cell_id"], "left").join(F.broadcast(norm), "target").withColumn("num", F.coalesce("xv", F.lit(0.0)) - F.col("shift"))
     scores = base.select("target", "cell_id", "gene", ratio(F.col("num"), F.col("vv")).alias("pvec"))
-    each = base.join(vector, "target").join(x.select("target", "cell_id", "gene_id", "prtb"), ["target", "cell_id", "gene_id"], "left")
-    part = (F.coalesce("prtb", F.lit(0.0)) - F.col("m")) / F.col("sd") * F.col("v")
+    listed = vector.groupBy("target").agg(F.collect_list(F.struct("gene_id", "v", "m", "sd")).alias("genes"))
+    each = base.join(F.broadcast(listed), "target").select("target", "cell_id", "gene", "num", "vv", "has", F.explode("genes").alias("g"))
+    each = each.select("target", "cell_id", "gene", "num", "vv", F.coalesce(F.try_element_at("has", F.col("g.gene_id")), F.lit(0.0)).alias("prtb"), "g.*")
+    part = (F.col("prtb") - F.col("m")) / F.col("sd") * F.col("v")
     loo = each.select("target", "cell_id", "gene", F.col("gene_id").alias("loo_gene"), ratio(F.col("num") - part, F.col("vv") - F.col("v") * F.col("v")).alias("pvec"))
     return scores, loo

@@ -44,6 +44,13 @@ def binary(cells: DataFrame, target: str | Column, control: str) -> DataFrame:
     return kept.withColumn("weight", F.when(F.col("target") == target, 1.0).otherwise(0.0))
 
 
+def binary_of(cells: DataFrame, targets: list[str], control: str) -> DataFrame:
+    """(target, cell_id, gene, weight): the binary weights of many targets; each has all control cells."""
+    each = F.when(F.col("target") == control, F.array(*map(F.lit, targets))).otherwise(F.array("target"))
+    kept = cells.filter(F.col("target").isin([*targets, control])).select(F.explode(each).alias("of"), "cell_id", F.col("target").alias("gene"))
+    return kept.select(F.col("of").alias("target"), "cell_id", "gene", F.when(F.col("gene") == F.col("of"), 1.0).otherwise(0.0).alias("weight"))
+
+
 def varies(column: str = "weight") -> Column:
     """Aggregate: whether there are finite weights above zero and at zero."""
     w = finite(F.col(column))

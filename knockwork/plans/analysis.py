@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import logging
+import re
 import tempfile
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knockwork.config import ScreenConfig
@@ -29,41 +30,57 @@ class Scores:
 def perturbation_scores(screen: Screen, cfg: ScreenConfig, targets: list[str], shared_embedding: bool = False) -> Scores | None:
     """Signature and score of each target in an embedding of its own cells and the controls, or in one of all cells.
 
-    Signatures are made only of the genes that the score uses. With a guide column, genes
+    All targets go through every step together, the target being a key: a slice of cells for each. Signatures are
+    made only of the genes that a target's score uses. With a guide column, genes
     are chosen by guide and joined. None where no target has genes to score by.
     """
-    out: Scores | None = None
-    groups = [targets] if shared_embedding else [[t] for t in targets]
-    for group in groups:
-        cells = foldchange.with_stratum(screen.cells.filter(F.col("target").isin([*group, cfg.control])), cfg.split_by)
-        counts = screen.counts.join(cells.select("cell_id"), "cell_id", "left_semi")
-        cells, counts = _held(cells), _held(counts)
-        expr, embedding = map(_held, expression.embed(counts, cells, cfg.variable_features, max(cfg.min_npcs, cfg.ndims)))
-        if cfg.guide_col and cfg.guide_col in cells.columns:
-            genes = _genes_by_guide(expr, cells, cfg, group, screen.genes.count())
-        else:
-            genes = score.score_genes(score.rank_sum(expr, cells, cfg.control, group), screen.genes.count(), cfg.logfc_threshold, cfg.min_de_genes, cfg.max_de_genes)
-        genes = _held(genes)
-        if not genes.take(1):
-            log.info("no genes to score %s by", ", ".join(group))
-            continue
-        knn = _held(neighbours.knn_controls(cells, embedding, cfg.control, cfg.num_neighbors, cfg.ndims, cfg.split_by, cfg.exclude_self))
-        sign = _held(neighbours.signature(expr, knn, cfg.num_neighbors, genes))
-        scores, loo = score.projection_scores(sign, cells, cfg.control, genes)
-        kind = cells.select("cell_id", "cell_type")
-        found = Scores(_held(scores.join(kind, "cell_id")), _held(loo.join(kind, "cell_id")), knn if cfg.store_neighbors else None)
-        out = found if out is None else Scores(out.scores.unionByName(found.scores), out.loo.unionByName(found.loo), out.knn.unionByName(found.knn) if cfg.store_neighbors else None)
-    return out
+    cells = foldchange.with_stratum(screen.cells.filter(F.col("target").isin([*targets, cfg.control])), cfg.split_by)
+    cells = _held(cells)
+    counts = screen.counts.join(cells.select("cell_id"), "cell_id", "left_semi")
+    expr = _held(expression.log_normalize(counts, cells))
+    n_genes = screen.genes.count()
+    if cfg.guide_col and cfg.guide_col in cells.columns:
+        genes = _genes_by_guide(expr, cells, cfg, targets, n_genes)
+    else:
+        genes = score.score_genes(score.rank_sum(expr, cells, cfg.control, targets), n_genes, cfg.logfc_threshold, cfg.min_de_genes, cfg.max_de_genes)
+    genes = _held(genes)
+    scored = [r[0] for r in genes.select("target").distinct().orderBy("target").collect()]
+    if without := [t for t in targets if t not in scored]:
+        log.warning("no genes to score %d of %d targets by: %s", len(without), len(targets), ", ".join(without[:20]))
+    if not scored:
+        return None
+    slices = None if shared_embedding else _held(expression.sliced(cells, cfg.control, scored))
+    _, embedding = expression.embed(counts, cells, cfg.variable_features, max(cfg.min_npcs, cfg.ndims), slices)
+    embedding = _held(embedding)
+    asking = cells if shared_embedding else cells.drop("target").join(slices, "cell_id")
+    knn = _held(neighbours.knn_controls(asking, embedding, cfg.control, cfg.num_neighbors, cfg.ndims, cfg.split_by, cfg.exclude_self))
+    chosen = genes if shared_embedding else genes.withColumn("slice", F.col("target"))
+    sign = _held(neighbours.signature(expr, knn, cfg.num_neighbors, chosen))
+    scores, loo = score.projection_scores(sign, cells, cfg.control, genes)
+    kind = cells.select("cell_id", "cell_type")
+    return Scores(_held(scores.join(kind, "cell_id")), _held(loo.join(kind, "cell_id")), knn if cfg.store_neighbors else None)
 
 
 def _held(frame: DataFrame) -> DataFrame:
     """Checkpointed for the steps that read it more than once: its plan is cut, which would grow with every step."""
-    context = frame.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="knockwork-"))
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> None:
+    """Sets the checkpoint folder where none is: the one that spark.checkpoint.dir names, or in local mode a temporary one.
+
+    A cluster without a folder that all its machines share is refused.
+    """
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[|$)", context.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="knockwork-"))
+
+
 def _genes_by_guide(expr: DataFrame, cells: DataFrame, cfg: ScreenConfig, targets: list[str], n_genes: int) -> DataFrame:
     """Genes that pass for any guide of a target, the smallest p of them first."""
     named = cells.withColumn("guide__", F.when(F.col("target") == cfg.control, F.lit(cfg.control)).otherwise(F.concat_ws("\t", "target", F.coalesce(F.col(cfg.guide_col), F.lit("")))))
@@ -82,15 +99,11 @@ def weighted_de(screen: Screen, cfg: ScreenConfig, scores: Scores | None = None)
     targets = perturbations(screen.cells, cfg.control, cfg.targets)
     cells = foldchange.with_stratum(screen.cells, cfg.split_by)
     scored = [r[0] for r in scores.scores.select("target").distinct().collect()] if scores else []
-    parts = []
+    rest = [t for t in targets if t not in scored]
+    all_weights = weights.binary_of(cells, rest, cfg.control) if rest else None
     if scored:
-        w = weights.standardized(scores.scores.filter(F.col("target").isin(targets)), cfg.control)
-        parts.append(w.select("target", "cell_id", "gene", "weight"))
-    for t in [t for t in targets if t not in scored]:
-        parts.append(weights.binary(cells, t, cfg.control).select(F.lit(t).alias("target"), "cell_id", F.col("target").alias("gene"), "weight"))
-    all_weights = parts[0]
-    for p in parts[1:]:
-        all_weights = all_weights.unionByName(p)
+        w = weights.standardized(scores.scores.filter(F.col("target").isin(targets)), cfg.control).select("target", "cell_id", "gene", "weight")
+        all_weights = w if all_weights is None else w.unionByName(all_weights)
     designs = routing.design(all_weights, cells)
     designs = _held(designs)
     designs = _held(designs.join(routing.varying_targets(designs), "target", "left_semi"))

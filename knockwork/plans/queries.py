@@ -269,18 +269,18 @@ def rank_sum_test(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _routes(spark: SparkSession, d: str, passing: DataFrame | None = None) -> DataFrame:
-    """Fit groups of the passing genes, or of those of odd number."""
+    """Fit groups of the passing genes, or of all genes."""
     scores, loo = _scores(spark, d)
     w = weights.leave_one_out(loo, "0").select("target", "loo_gene", "cell_id", "weight")
     members = scores.select("target", "cell_id", "gene")
     genes = _genes(spark, d)
-    de = (genes.filter("gene_id % 2 = 1") if passing is None else passing).select(F.lit("1").alias("target"), "gene_id")
+    de = (genes if passing is None else passing).select(F.lit("1").alias("target"), "gene_id")
     targets = routing.loo_targets(w, members, genes.select("gene_id"))
     return routing.route(de, targets.withColumn("loo_gene", F.col("loo_gene").cast("long"))).select("gene_id", "fit_group")
 
 
 @_query(f"""{_weight_sql(LOO, 'loo_gene')}, ok as (select loo_gene g from s group by 1 having bool_or(weight > 0) and bool_or(weight = 0) union select 1)
-select p_partkey gene_id, 'main' fit_group from part where p_partkey % 2 = 1 and p_partkey not in (select g from ok)
+select p_partkey gene_id, 'main' fit_group from part where p_partkey not in (select g from ok)
 union all select g gene_id, cast(g as varchar) fit_group from ok where g in (select p_partkey from part)""")
 def loo_routing(spark: SparkSession, d: str) -> DataFrame:
     return _routes(spark, d)
@@ -316,7 +316,7 @@ QUERIES["bh_adjust"], ORACLE_SQL["bh_adjust"] = QUERIES.pop("bh"), ORACLE_SQL.po
 from p join f using (gene_id) left join (select gene_id, least(1.0, min(p * m / (m - i + 1)) over (order by i rows between unbounded preceding and current row)) q2
   from (select gene_id, p, row_number() over (order by p desc, cast(gene_id as varchar)) i, count(p) over () m from p where p is not null)) using (gene_id)""")
 def result_shape(spark: SparkSession, d: str) -> DataFrame:
-    stats = _stats(spark, d).persist()
+    stats = _stats(spark, d)
     p = _p_values(spark, d).select(F.col("target_gene").alias("target"), "gene_id", "p_weight")
     fits = p.join(stats.select("gene_id", _r("avg_log2fc", "beta_weight")), "gene_id")
     methods = spark.createDataFrame([(TARGET, "weighted")], "target string, method string")
