@@ -17,25 +17,22 @@ def make_unique(df: DataFrame, name: str, order: str, into: str) -> DataFrame:
 
     A name made so that another row already has is numbered on until it is free.
     """
-    def number(rows: DataFrame, column: str) -> DataFrame:
-        nth = F.row_number().over(W.partitionBy(column).orderBy(order)) - 1
-        return rows.withColumn("unique__n", nth)
-
-    numbered = number(df, name)
+    numbered = df.withColumn("unique__n", F.row_number().over(W.partitionBy(name).orderBy(order)) - 1)
     made = F.when(F.col("unique__n") == 0, F.col(name)).otherwise(F.concat(F.col(name), F.lit("."), F.col("unique__n").cast("string")))
     out = numbered.withColumn(into, made)
     taken = df.select(F.col(name).alias(into)).distinct()
-    clashes = out.filter("unique__n > 0").select(into, name).join(taken, into, "left_semi").select(name).distinct()
-    names = [r[0] for r in clashes.collect()]  # of names that end in a number others were given: few
-    if not names:
-        return out.drop("unique__n")
-    settled = out.filter(~F.col(name).isin(names) | (F.col("unique__n") == 0))
-    rest = out.filter(F.col(name).isin(names) & (F.col("unique__n") > 0))
-    used = settled.select(F.col(into).alias("used")).groupBy().agg(F.collect_set(F.when(F.expr(" or ".join(f"startswith(used, {_text(n + '.')})" for n in names)), F.col("used"))).alias("used__"))
-    free = F.expr(
-        f"element_at(filter(transform(sequence(1, unique__n + size(used__)), i -> concat({name}, '.', i)), x -> not array_contains(used__, x)), unique__n)")
-    return settled.drop("unique__n").unionByName(rest.crossJoin(F.broadcast(used)).withColumn(into, free).drop("unique__n", "used__"))
-
-
-def _text(x: str) -> str:
-    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    clashing = out.filter("unique__n > 0").select(into, name).join(taken, into, "left_semi").select(F.col(name).alias("unique__name")).distinct()
+    hit = F.col(name) == F.col("unique__name")
+    again = out.filter("unique__n > 0")
+    settled = out.filter("unique__n = 0").unionByName(again.join(clashing, hit, "left_anti"))
+    rest = again.join(clashing, hit, "left_semi")
+    # Of each clashing name, as many numbers as it needs beside those in use; the free ones are dealt out in order.
+    used = settled.select(F.col(into).alias("unique__made")).distinct()
+    stem = F.regexp_extract("unique__made", r"(?s)^(.*)\.\d+$", 1)
+    many = rest.groupBy(F.col(name).alias("unique__name")).agg(F.max("unique__n").alias("unique__k"))
+    room = used.groupBy(stem.alias("unique__name")).agg(F.count("*").alias("unique__t"))
+    tried = many.join(room, "unique__name", "left").select("unique__name", F.explode(F.sequence(F.lit(1).cast("long"), F.col("unique__k") + F.coalesce("unique__t", F.lit(0)))).alias("unique__i"))
+    free = tried.withColumn("unique__made", F.concat("unique__name", F.lit("."), F.col("unique__i").cast("string"))).join(used, "unique__made", "left_anti")
+    free = free.withColumn("unique__at", F.row_number().over(W.partitionBy("unique__name").orderBy("unique__i")))
+    numbered = rest.drop(into).join(free, (F.col(name) == F.col("unique__name")) & (F.col("unique__n") == F.col("unique__at"))).withColumnRenamed("unique__made", into)
+    return settled.drop("unique__n").unionByName(numbered.select(*df.columns, into))

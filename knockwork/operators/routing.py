@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from knockwork.functions.columns import finite
 from knockwork.functions.stats import bh_adjust
 from knockwork.operators.weights import varies
 
+log = logging.getLogger(__name__)
+
 RESULT = "gene_ID string, log2FC double, beta_weight double, p_weight double, DE_method string, target_gene string, p_adj_bh double"
 
 
@@ -23,6 +27,14 @@ def design(weights: DataFrame, cells: DataFrame) -> DataFrame:
     return joined.select("target", "cell_id", "gene", "cell_type", "n_count", "weight", log_ct.alias("log_ct"))
 
 
+def unmatched(weights: DataFrame, cells: DataFrame) -> int:
+    """How many weighted cells of a target ``design`` leaves out, as ``cells`` doesn't have them; they are logged."""
+    lost = weights.select("cell_id", "gene").distinct().join(cells.select("cell_id", F.col("target").alias("gene")), ["cell_id", "gene"], "left_anti").count()
+    if lost:
+        log.warning("%d weighted cells aren't in the screen and are left out", lost)
+    return lost
+
+
 def varying_targets(designs: DataFrame) -> DataFrame:
     """Targets whose weights vary; the others get an empty result."""
     return designs.groupBy("target").agg(varies("weight").alias("ok")).filter("ok").select("target")

@@ -1,4 +1,7 @@
-"""From a screen to weighted differential expression, for one target or many in one job."""
+"""From a screen to weighted differential expression, for one target or many in one job.
+
+Python workers have one thread of linear algebra each: Spark sets OMP_NUM_THREADS to spark.task.cpus for them.
+"""
 
 from __future__ import annotations
 
@@ -104,8 +107,9 @@ def weighted_de(screen: Screen, cfg: ScreenConfig, scores: Scores | None = None)
     if scored:
         w = weights.standardized(scores.scores.filter(F.col("target").isin(targets)), cfg.control).select("target", "cell_id", "gene", "weight")
         all_weights = w if all_weights is None else w.unionByName(all_weights)
-    designs = routing.design(all_weights, cells)
-    designs = _held(designs)
+    all_weights = _held(all_weights)
+    routing.unmatched(all_weights, cells)
+    designs = _held(routing.design(all_weights, cells))
     designs = _held(designs.join(routing.varying_targets(designs), "target", "left_semi"))
     stats = foldchange.gates(foldchange.fold_change_stats(screen.counts, cells, cfg.control, targets, cfg.pseudocount, cfg.base), cfg.logfc_threshold, cfg.min_pct, cfg.min_cells_group)
     stats = _held(stats.join(designs.select("target").distinct(), "target", "left_semi"))
@@ -144,8 +148,12 @@ def analyse(screen: Screen, cfg: ScreenConfig, guides: DataFrame | None = None,
     ready = replace(ready, counts=_held(ready.counts), cells=_held(ready.cells), genes=_held(ready.genes))
     targets = perturbations(ready.cells, cfg.control, cfg.targets)
     scores = perturbation_scores(ready, cfg, targets, shared_embedding)
-    cells = ready.cells
-    if scores is not None:
-        of_cell = scores.scores.filter(F.col("gene") == F.col("target")).select("cell_id", F.col("pvec").alias(score_col))
-        cells = cells.join(of_cell, "cell_id", "left")
-    return weighted_de(ready, cfg, scores), cells
+    return weighted_de(ready, cfg, scores), with_score(ready.cells, scores, score_col)
+
+
+def with_score(cells: DataFrame, scores: Scores | None, score_col: str = "perturbation_score") -> DataFrame:
+    """Cells with the score of their own target, null for the others."""
+    if scores is None:
+        return cells
+    of_cell = scores.scores.filter(F.col("gene") == F.col("target")).select("cell_id", F.col("pvec").alias(score_col))
+    return cells.join(of_cell, "cell_id", "left")

@@ -5,8 +5,11 @@ Zeros aren't stored. Order, which the tables lack, is in feature_index and cell_
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +18,12 @@ from knockwork.functions.columns import require
 from knockwork.functions.names import dashed, make_unique
 
 
+log = logging.getLogger(__name__)
+
+#: Rows (cells, or genes of a matrix that is stored by gene) of an AnnData file that a task reads at once.
+H5AD_ROWS = 2000
+
+
 @dataclass(frozen=True)
 class Screen:
     counts: DataFrame
@@ -30,36 +39,58 @@ def read_screen(spark: SparkSession, path: str) -> Screen:
     return Screen(*(spark.read.parquet(f"{path}/{n}") for n in ("counts", "cells", "genes")))
 
 
-def read_h5ad(spark: SparkSession, path: str, target_col: str = "target_gene") -> Screen:
-    """A screen in an AnnData file, where h5py is installed; its arrays are read on the driver."""
+def read_h5ad(spark: SparkSession, path: str, target_col: str = "target_gene", max_features: int | None = None) -> Screen:
+    """A screen in an AnnData file, where h5py is installed; the file lies where all executors see it.
+
+    The driver reads the tables of both axes; tasks read ranges of rows of the matrix, sparse by cell or gene or dense.
+    """
     try:
         import h5py
     except ImportError as e:
         raise RuntimeError("h5ad files need h5py; convert the file to tables of triplets, cells and genes elsewhere") from e
-    import numpy as np
-    import pandas as pd
 
-    def text(x):
+    def text(x) -> list[str]:
         return [v.decode() if isinstance(v, bytes) else str(v) for v in x]
 
     with h5py.File(path, "r") as f:
         x, obs, var = f["X"], f["obs"], f["var"]
-        shape = x.attrs["shape"] if isinstance(x, h5py.Group) else x.shape
-        if isinstance(x, h5py.Group):
-            size = np.diff(x["indptr"][:])
-            major, minor, data = np.repeat(np.arange(len(size)), size), x["indices"][:], x["data"][:]
-            rows, cols = (major, minor) if "csr" in str(x.attrs["encoding-type"]) else (minor, major)
-        else:
-            rows, cols = np.nonzero(x[:])
-            data = x[:][rows, cols]
-        cells = pd.DataFrame({"cell_index": np.arange(shape[0]), "cell_id": text(obs[obs.attrs["_index"]][:])})
+        sparse = isinstance(x, h5py.Group)
+        n_cells, n_genes = (int(v) for v in (x.attrs["shape"] if sparse else x.shape))
+        by_cell = not sparse or "csr" in str(x.attrs["encoding-type"])
+        cells = pd.DataFrame({"cell_index": range(n_cells), "cell_id": text(obs[obs.attrs["_index"]][:])})
         for name in obs:
             if name != obs.attrs["_index"]:
                 column = obs[name]
-                cells[name] = [text(column["categories"][:])[c] if c >= 0 else None for c in column["codes"][:]] if isinstance(column, h5py.Group) else (text(column[:]) if column.dtype.kind in "SO" else column[:])
-        genes = pd.DataFrame({"feature_index": np.arange(shape[1]), "gene_id": text(var[var.attrs["_index"]][:])})
-    triplets = spark.createDataFrame(pd.DataFrame({"cell_index": rows, "feature_index": cols, "count": data.astype(float)}))
-    return from_triplets(triplets, spark.createDataFrame(cells), spark.createDataFrame(genes), target_col)
+                if isinstance(column, h5py.Group):
+                    labels = text(column["categories"][:])
+                    cells[name] = [labels[c] if c >= 0 else None for c in column["codes"][:]]
+                else:
+                    values = column[:]
+                    cells[name] = text(values) if values.dtype.kind in "SOU" else values
+        genes = pd.DataFrame({"feature_index": range(n_genes), "gene_id": text(var[var.attrs["_index"]][:])})
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import h5py
+        import numpy as np
+
+        with h5py.File(path, "r") as f:
+            x = f["X"]
+            for a, b in ((int(i), min(int(i) + H5AD_ROWS, n_cells if by_cell else n_genes)) for batch in batches for i in batch["id"]):
+                if sparse:
+                    edge = np.asarray(x["indptr"][a : b + 1]).astype(np.int64)
+                    major, minor = np.repeat(np.arange(a, b), np.diff(edge)), np.asarray(x["indices"][edge[0] : edge[-1]])
+                    data = np.asarray(x["data"][edge[0] : edge[-1]])
+                else:
+                    block = np.asarray(x[a:b])
+                    major, minor = np.nonzero(block)
+                    data, major = block[major, minor], major + a
+                cell, gene = (major, minor) if by_cell else (minor, major)
+                yield pd.DataFrame({"cell_index": cell.astype(np.int64), "feature_index": gene.astype(np.int64), "count": data.astype(float)})
+
+    size = n_cells if by_cell else n_genes
+    starts = spark.range(0, max(size, 1), H5AD_ROWS, max(1, -(-size // H5AD_ROWS)))
+    triplets = starts.mapInPandas(read, "cell_index long, feature_index long, count double")
+    return from_triplets(triplets, spark.createDataFrame(cells), spark.createDataFrame(genes), target_col, max_features)
 
 
 def from_dense(dense: DataFrame, cell: str = "cell_index", values: str = "values") -> DataFrame:
@@ -91,9 +122,14 @@ def from_triplets(triplets: DataFrame, cells: DataFrame, genes: DataFrame, targe
 
 
 def read_guides(spark: SparkSession, path: str, cell_col: str = "cell", guide_col: str = "pair_key") -> DataFrame:
-    """(cell_id, guide, row): a CSV whose first column is its index, which isn't a column any more, in the order of its rows."""
+    """(cell_id, guide, row): a CSV whose first column is its index, which isn't a column any more, in the order of its rows.
+
+    An error where the index repeats or isn't there.
+    """
     table = spark.read.csv(path, header=True, inferSchema=False)
     index = table.columns[0]
+    if again := table.groupBy(F.col(f"`{index}`")).count().filter("count > 1").take(1):
+        raise ValueError(f"the index of {path} has {again[0][0]!r} more than once")
     rest = require(table.drop(index), cell_col, guide_col, what="guide table")
     return rest.select(F.col(cell_col).alias("cell_id"), F.col(guide_col).alias("guide"), F.monotonically_increasing_id().alias("row"))
 
@@ -108,7 +144,9 @@ def first_match(guides: DataFrame, key: str = "cell_id", order: str = "row") ->
 def add_guides(cells: DataFrame, guides: DataFrame) -> DataFrame:
     """Cells with the guide of their first match, null for none; an error when no cell has any."""
     out = cells.join(first_match(guides), "cell_id", "left")
-    if not out.filter(F.col("guide").isNotNull()).take(1):
+    n, found = out.agg(F.count("*"), F.count("guide")).first()
+    log.info("%d of %d cells have no guide", n - found, n)
+    if not found:
         raise ValueError("no cell has a guide: check the key columns of both tables")
     return out
 
@@ -116,7 +154,9 @@ def add_guides(cells: DataFrame, guides: DataFrame) -> DataFrame:
 def subset(cells: DataFrame, targets: list[str], control: str) -> DataFrame:
     """Cells of some targets and of the control; a null target is never one of them. An error when none is left."""
     kept = cells.filter(F.col("target").isin([*targets, control]))
-    if not kept.take(1):
+    n = kept.count()
+    log.info("%d cells of %d targets and %s", n, len(targets), control)
+    if not n:
         raise ValueError(f"no cells of {', '.join(targets)} or {control}")
     return kept
 

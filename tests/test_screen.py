@@ -95,6 +95,112 @@ def test_screen_round_trip(spark, tmp_path):
     assert sc.read_screen(spark, str(tmp_path / "s")).counts.collect() == counts.collect()
 
 
+def test_index_of_guides_is_its_own(spark, tmp_path):
+    (tmp_path / "guides.csv").write_text("i,cell,pair_key\n0,a,g1\n0,b,g2\n")
+    with pytest.raises(ValueError):
+        sc.read_guides(spark, str(tmp_path / "guides.csv"))
+
+
+def test_names_that_clash_again_and_again(spark):
+    rows = ["A", "A", "A", "A.1", "A.2", "A.2", "A.4", "B.", "B.", "B..1"]
+    got = [r.u for r in make_unique(spark.createDataFrame(list(enumerate(rows)), "i int, n string"), "n", "i", "u").orderBy("i").collect()]
+    assert len(set(got)) == len(rows) and [g for g, n in zip(got, rows) if g == n] == ["A", "A.1", "A.2", "A.4", "B.", "B..1"]
+    assert got[1:3] == ["A.3", "A.5"] and got[5] == "A.2.1" and got[8] == "B..2"
+
+
+FAKE = """
+import pickle
+
+class Dataset:
+    def __init__(self, x):
+        self.x, self.shape, self.dtype, self.attrs = x, x.shape, x.dtype, {}
+    def __getitem__(self, k):
+        return self.x[k]
+
+class Group(dict):
+    pass
+
+def File(path, mode):
+    import contextlib
+    import numpy as np
+    def wrap(v):
+        if isinstance(v, dict):
+            g = Group({k: wrap(x) for k, x in v.items() if k != "attrs"})
+            g.attrs = v.get("attrs", {})
+            return g
+        return Dataset(np.asarray(v))
+    return contextlib.nullcontext(wrap(pickle.load(open(path, "rb"))))
+"""
+
+
+@pytest.mark.parametrize("kind", ["csr_matrix", "csc_matrix", "dense"])
+def test_h5ad_by_ranges(spark, tmp_path, monkeypatch, kind):
+    """With a stand-in for the library: a matrix of either storage gives the same screen."""
+    import pickle
+    import sys
+
+    import numpy as np
+
+    monkeypatch.setattr(sc, "H5AD_ROWS", 2)
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 3, (7, 5)) * (rng.random((7, 5)) < 0.6)
+    if kind == "dense":
+        held = x
+    else:
+        m = x if kind == "csr_matrix" else x.T
+        held = {"attrs": {"shape": x.shape, "encoding-type": kind}, "indptr": np.concatenate(([0], np.cumsum((m != 0).sum(1)))), "indices": np.nonzero(m)[1], "data": m[np.nonzero(m)]}
+    obs = {"attrs": {"_index": "name"}, "name": [f"c{i}" for i in range(7)], "target_gene": {"codes": [0, 1, 0, -1, 1, 0, 1], "categories": ["N", "T"]}, "depth": [float(i) for i in range(7)]}
+    (tmp_path / "x.h5ad").write_bytes(pickle.dumps({"X": held, "obs": obs, "var": {"attrs": {"_index": "g"}, "g": ["a_1", "b", "c", "d", "e"]}}))
+    (tmp_path / "lib").mkdir()
+    (tmp_path / "lib" / "h5py.py").write_text(FAKE)
+    monkeypatch.syspath_prepend(str(tmp_path / "lib"))
+    spark.sparkContext.addPyFile(str(tmp_path / "lib" / "h5py.py"))
+    try:
+        screen = sc.read_h5ad(spark, str(tmp_path / "x.h5ad"), max_features=4)
+        names = ["a-1", "b", "c", "d"]
+        assert {tuple(r) for r in screen.counts.collect()} == {(f"c{i}", names[j], float(x[i, j])) for i in range(7) for j in range(4) if x[i, j]}
+        assert {r.cell_id: (r.target, r.depth) for r in screen.cells.collect()} == {f"c{i}": ([None, "N", "T"][[1, 2, 1, 0, 2, 1, 2][i]], float(i)) for i in range(7)}
+    finally:
+        sys.modules.pop("h5py", None)
+
+
+def test_command_runs_and_resumes(spark, tmp_path, caplog):
+    import logging
+
+    from test_operators import simulated
+
+    from knockwork import __main__ as command
+
+    simulated(spark).write(str(tmp_path / "screen"))
+    (tmp_path / "guides.csv").write_text("i,cell,pair_key\n" + "".join(f"{i},{i},g{i % 3}\n" for i in range(80)))
+    argv = ["--screen", str(tmp_path / "screen"), "--outdir", str(tmp_path / "out"), "--nt-label", "N", "--ndims", "3", "--num-neighbors", "5", "--variable-features", "8", "--subsample", "no"]
+    with caplog.at_level(logging.INFO, "knockwork"):
+        result = command.run(spark, command.parser().parse_args(argv))
+        rows = {r.gene_ID: r.p_weight for r in result.collect()}
+        assert len(rows) == 12 and "regression of 1 targets took" in caplog.text and '"spark"' in caplog.text
+        caplog.clear()
+        again = command.run(spark, command.parser().parse_args([*argv, "--resume"]))
+        assert {r.gene_ID: r.p_weight for r in again.collect()} == rows and "took" not in caplog.text.replace("tables took", "")
+    text = "".join(p.read_text() for p in (tmp_path / "out" / "pert_T_x_de_res_df.csv").glob("part-*"))
+    assert len(text.splitlines()) == 13
+    table = "".join(p.read_text() for p in (tmp_path / "out" / "pert_T_x_meta_data.csv").glob("part-*"))
+    assert table.startswith("cell_id,") and "perturbation_score" in table.splitlines()[0] and len(table.splitlines()) == 81
+    with pytest.raises(SystemExit):
+        command.parser().parse_args(["--screen", "x", "--subsample", "maybe"])
+
+
+def test_workers_have_one_thread_of_linear_algebra(spark):
+    def threads(batches):
+        import os
+
+        import pandas as pd
+
+        for _ in batches:
+            yield pd.DataFrame({"n": [os.environ.get("OMP_NUM_THREADS")]})
+
+    assert {r.n for r in spark.range(4).mapInPandas(threads, "n string").collect()} == {"1"}
+
+
 def test_h5ad_needs_a_library(spark):
     pytest.importorskip("pyspark")
     try:
