@@ -125,6 +125,122 @@ def test_routing(spark):
     assert {r.cell_id: r.weight for r in routing.own_gene_weights(designs, loo).collect()} == {"a": 1.0, "b": 0.0}
 
 
+def test_nearest_equals_brute_force():
+    rng = np.random.default_rng(11)
+    for n, m, dims in ((300, 400, 5), (50, 30, 2), (200, 500, 1)):
+        x, q = rng.integers(-4, 5, (m, dims)).astype(float), rng.integers(-4, 5, (n, dims)).astype(float)
+        for shift in (0.0, 1e6):
+            skip = rng.integers(-1, m, n)
+            for own in (None, skip):
+                d = np.sqrt((((q + shift)[:, None] - (x + shift)[None]) ** 2).sum(2))
+                if own is not None:
+                    d[np.flatnonzero(own >= 0), own[own >= 0]] = np.inf
+                order = np.argsort(d, axis=1, kind="stable")[:, :7]
+                query, at, distance = neighbours._nearest(q + shift, x + shift, 7, own)
+                assert (query == np.repeat(np.arange(n), 7)).all() and (at == order.ravel()).all()
+                assert np.allclose(distance, np.take_along_axis(d, order, 1).ravel())
+
+
+def test_rank_sums_of_many_labels(spark):
+    rng = np.random.default_rng(5)
+    n, labels = 90, ["N", "A", "B", "C"]
+    label = [labels[i % 4] for i in range(n)]
+    x = rng.integers(0, 4, (n, 6)) / 2.0
+    x[:, 4] = 0
+    x[[l != "N" for l in label], 5] = 0  # expressed by control cells only
+    cells = spark.createDataFrame([(i, l) for i, l in enumerate(label)], "cell_id int, target string")
+    expr = spark.createDataFrame([(i, g, float(x[i, g])) for i in range(n) for g in range(6) if x[i, g]], "cell_id int, gene_id int, expr double")
+    got = {(r.target, r.gene_id): (r.log2fc, r.z) for r in score.rank_sum(expr, cells, "N", ["A", "B", "C"]).collect()}
+    assert set(got) == {(t, g) for t in "ABC" for g in (0, 1, 2, 3, 5)}
+    for (t, g), (change, z) in got.items():
+        p, c = x[[l == t for l in label], g], x[[l == "N" for l in label], g]
+        both = np.concatenate((p, c))
+        ranks = np.array([(both < v).sum() + ((both == v).sum() + 1) / 2 for v in both])
+        _, times = np.unique(both, return_counts=True)
+        total = len(both)
+        var = len(p) * len(c) / 12 * (total + 1 - (times**3.0 - times).sum() / (total * (total - 1)))
+        assert z == pytest.approx((ranks[: len(p)].sum() - len(p) * (total + 1) / 2) / math.sqrt(var))
+        assert change == pytest.approx(math.log2(np.expm1(p).mean() + 1) - math.log2(np.expm1(c).mean() + 1))
+
+
+def many_targets(spark):
+    rng = np.random.default_rng(17)
+    label = ["N" if i % 2 else ["T_a", "T_b"][i // 2 % 2] for i in range(120)]
+    depth = rng.lognormal(0, 0.2, 120)
+    rows = []
+    for g in range(12):
+        up = np.array([1.3 if (l, g) in (("T_a", 0), ("T_a", 1), ("T_b", 2), ("T_b", 3), ("T_b", 4)) else 0.0 for l in label])
+        rows += [(i, f"g{g}", float(v)) for i, v in enumerate(rng.negative_binomial(5, 5 / (5 + 4 * depth * np.exp(up)))) if v]
+    return Screen(
+        spark.createDataFrame(rows, "cell_id int, gene_id string, count double"), spark.createDataFrame(list(enumerate(label)), "cell_id int, target string"),
+        spark.createDataFrame([(f"g{g}", g) for g in range(12)], "gene_id string, feature_index int"))
+
+
+def test_targets_together_are_each_alone(spark, monkeypatch):
+    monkeypatch.setattr(expression, "CHUNK", 25)
+    screen = many_targets(spark)
+    shape = {"control": "N", "ndims": 3, "num_neighbors": 5, "variable_features": 6, "min_npcs": 3}
+    ready = analysis.prepare(screen, ScreenConfig(**shape))
+    both = analysis.perturbation_scores(ready, ScreenConfig(**shape), ["T_a", "T_b"])
+    for t in ("T_a", "T_b"):
+        alone = analysis.perturbation_scores(ready, ScreenConfig(**shape), [t])
+        for part in ("scores", "loo"):
+            key = [c for c in ("cell_id", "loo_gene") if c in getattr(both, part).columns]
+            want = {tuple(r[c] for c in key): r.pvec for r in getattr(alone, part).collect()}
+            got = {tuple(r[c] for c in key): r.pvec for r in getattr(both, part).filter(F.col("target") == t).collect()}
+            assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in got)
+    result = {(r.target_gene, r.gene_ID): r for r in analysis.weighted_de(ready, ScreenConfig(**shape), both).collect()}
+    assert len(result) == 24 and {r.DE_method for r in result.values()} == {"weighted"}
+    assert result["T_a", "g0"].log2FC > 1 > abs(result["T_b", "g0"].log2FC)
+
+
+def test_components_equal_dense_ones(spark, monkeypatch):
+    monkeypatch.setattr(expression, "CHUNK", 25)
+    monkeypatch.setattr(expression, "GRAM_ROWS", 4)
+    screen = many_targets(spark)
+    ready = analysis.prepare(screen, ScreenConfig(control="N"))
+    slices = expression.sliced(ready.cells, "N", ["T_a", "T_b"])
+    expr, embedding = expression.embed(ready.counts, ready.cells, 7, 4, slices)
+    genes = {}
+    for r in expression.variable_genes(ready.counts, None, 7, slices).collect():
+        genes.setdefault(r["slice"], []).append(r.gene_id)
+    values = {(r.cell_id, r.gene_id): r.expr for r in expr.collect()}
+    target = {r.cell_id: r.target for r in ready.cells.collect()}
+    got = {(r["slice"], r.cell_id): r.embedding for r in embedding.collect()}
+    counts = {(r.cell_id, r.gene_id): r["count"] for r in ready.counts.collect()}
+    for t, names in genes.items():
+        cells = sorted(c for c, l in target.items() if l in (t, "N"))
+        raw = np.array([[counts.get((c, f"g{g}"), 0.0) for g in range(12)] for c in cells])
+        mean, var = raw.mean(0), raw.var(0, ddof=1)
+        expected = 10 ** expression._loess(np.log10(mean), np.log10(var))
+        z = np.minimum((raw - mean) / np.sqrt(expected), math.sqrt(len(cells)))
+        order = np.argsort(-(z**2).sum(0) / (len(cells) - 1), kind="stable")[:7]
+        assert sorted(names) == sorted(f"g{g}" for g in order)
+        x = np.array([[values.get((c, g), 0.0) for g in sorted(names)] for c in cells])
+        z = np.clip((x - x.mean(0)) / x.std(0, ddof=1), -10, 10)
+        _, v = np.linalg.eigh(np.cov(z.T))
+        v = v[:, ::-1][:, :4]
+        v = v * np.sign(v[np.abs(v).argmax(0), range(4)])
+        assert np.allclose(z @ v, [got[t, c] for c in cells], atol=1e-8)
+
+
+def test_fits_don_t_depend_on_blocks(spark, monkeypatch):
+    screen = many_targets(spark)
+    ready = analysis.prepare(screen, ScreenConfig(control="N"))
+    cells = foldchange.with_stratum(ready.cells)
+    design = routing.design(weights.binary_of(cells, ["T_a", "T_b"], "N"), cells)
+    genes = design.select("target").distinct().crossJoin(screen.genes.select("gene_id")).select("target", "gene_id", F.when(F.col("gene_id") == "g3", "g3").otherwise("main").alias("fit_group"))
+    loo = design.filter("target = 'T_a'").select("target", F.lit("g3").alias("loo_gene"), "cell_id", (F.col("weight") / 2).alias("weight"))
+    found = []
+    for n in (3, 64):
+        monkeypatch.setattr(glm, "GENES", n)
+        found.append({(r.target, r.gene_id): r for r in glm.fit(ready.counts, design, genes, loo).collect()})
+    assert found[0] == found[1] and len(found[0]) == 24
+    assert found[0]["T_b", "g3"].beta is None  # no weights of its own
+    one = glm.fit(ready.counts, design, genes.withColumn("fit_group", F.lit("main"))).filter("target = 'T_a' and gene_id = 'g3'").first()
+    assert found[0]["T_a", "g3"].beta[1] == pytest.approx(2 * one.beta[1], rel=0.05)
+
+
 def test_special_functions():
     assert glm.digamma(1.0) == pytest.approx(-0.5772156649) and glm.trigamma(1.0) == pytest.approx(math.pi**2 / 6)
     assert glm.inverse_trigamma(glm.trigamma(2.5)) == pytest.approx(2.5)
