@@ -4,9 +4,13 @@ A leaf is the hash of a record together with the range of bytes it fills; an inn
 nodes below it in order. Replicas whose roots agree are the same; where they differ, only
 nodes under a differing node are compared, level by level, down to the damaged records.
 
+A record whose length has changed moves those behind it: their leaves differ by offsets, and only
+``compare_archives``, which looks at the differing leaves of both replicas, tells moved records from damaged ones.
+
 Files (segments) are trees of their own below a common root, so hashing a file needs only
 its own records, and no task holds more than one node's children. Records that repeat in
-number, offset and content are one. A null payload is an empty one; a record that only one
+number, offset and content are one. A null payload is an empty one; records without a key share a
+file for each of 4,096 hashes of their content; a record that only one
 replica has is damaged, as is each of several that claim the same place. Empty tables
 have no segments. Extra columns are left out.
 """
@@ -43,7 +47,7 @@ def record(url: Column, payload: Column, number: Column) -> Column:
 def archive(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", segment: int = SEGMENT) -> DataFrame:
     """(segment, record_no, key, offset, n_bytes, sha256): pages as records of WARC files, ``segment`` keys to a file, in key order."""
     written = record(F.col(url), F.col(payload), F.col(key))
-    rows = pages.select(F.coalesce(F.floor(F.col(key) / segment), F.lit(-1)).cast("long").alias("segment"), F.col(key).alias("key"), F.octet_length(written).cast("long").alias("n_bytes"), F.sha2(written, 256).alias("sha256")).distinct()
+    rows = pages.select(F.coalesce(F.floor(F.col(key) / segment), -1 - F.pmod(F.xxhash64(written), F.lit(4096))).cast("long").alias("segment"), F.col(key).alias("key"), F.octet_length(written).cast("long").alias("n_bytes"), F.sha2(written, 256).alias("sha256")).distinct()
     order = W.partitionBy("segment").orderBy("key", "sha256")
     before = order.rowsBetween(W.unboundedPreceding, -1)
     return rows.select(
@@ -133,9 +137,18 @@ def audit(first: list[DataFrame], second: list[DataFrame], fanout: int = FANOUT)
 
 
 def compare_archives(first: DataFrame, second: DataFrame) -> DataFrame:
-    """The records of ``first`` with damaged: whether ``second`` has something else, or nothing, in a record's place."""
+    """The records of ``first`` with damaged and moved.
+
+    A record whose place ``second`` fills otherwise is moved if another differing leaf of its file there has its
+    key and content, else damaged.
+    """
     scratch = Scratch(first.sparkSession, "fixity")
     first, second = scratch.keep(first, "first"), scratch.keep(second, "second")
     levels = depth(first, second)
-    found = audit(tree(first, scratch, levels), tree(second, scratch, levels)).select("segment", "record_no", F.lit(True).alias("damaged"))
-    return first.join(found, ["segment", "record_no"], "left").withColumn("damaged", F.coalesce("damaged", F.lit(False)))
+    found = scratch.keep(audit(tree(first, scratch, levels), tree(second, scratch, levels)).select("segment", "record_no"), "differing")
+    there = second.join(found, ["segment", "record_no"], "left_semi").select("segment", "key", "sha256").distinct().withColumn("moved", F.lit(True))
+    of_first = first.join(found, ["segment", "record_no"], "left_semi")
+    same = of_first.segment.eqNullSafe(there.segment) & of_first.key.eqNullSafe(there.key) & (of_first.sha256 == there.sha256)
+    told = of_first.join(there, same, "left").select(of_first.segment, "record_no", F.coalesce("moved", F.lit(False)).alias("moved")).distinct()
+    out = first.join(told, ["segment", "record_no"], "left")
+    return out.withColumns({"damaged": F.coalesce(~F.col("moved"), F.lit(False)), "moved": F.coalesce("moved", F.lit(False))})

@@ -7,10 +7,11 @@ stochastic gradient descent in numpy. A temperature, fitted on rows set aside, t
 into calibrated probabilities, and the rows set aside also give the score below which a
 prediction should be rejected (``Model.floor``).
 
-It learns from at most ``SAMPLE_ROWS`` rows, the first in the order of a hash of their key,
-each as a whole text and as a short span of it; predictions read every whole text. A text
-that is null or has no letters is ``und`` with score 0, as is every text when there is nothing
-to learn from. Repeated rows are judged one by one; extra columns are left out.
+It learns from at most ``SAMPLE_ROWS`` rows and ``SAMPLE_BYTES`` of text, the first in the order of a
+hash of their key, each as a whole text and as a short span of it; predictions read every whole
+text. A text that is null or has no letters is ``und`` with score 0, as is every text when there is
+nothing to learn from. Repeated rows are judged one by one, of equally likely languages the first in
+order is taken; an empty table gives no rows; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -25,14 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from knockwork.llm.sampling import chosen, fold
+from knockwork.llm.sampling import chosen, fold, within
 from knockwork.llm.textscan import NOT_LETTERS, blocks, scan
 
 #: Fixed values of the contract.
 FOLDS, HELD_OUT, UNKNOWN = 5, 0, "und"
 
-#: Labelled rows that are learned from.
-SAMPLE_ROWS = 3000
+#: Labelled rows that are learned from, and bytes of their texts.
+SAMPLE_ROWS, SAMPLE_BYTES = 3000, 64 << 20
 BITS = 13
 DIM = 16
 SIZES = (2, 3, 4)
@@ -146,7 +147,7 @@ def learn(counts: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, aside:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Subword counts of the chosen rows are made on the executors; the driver learns from them."""
-    known = chosen(docs.filter(F.col(text).isNotNull()), key, lang, sample_rows)
+    known = within(docs, chosen(docs.filter(F.col(text).isNotNull()), key, lang, sample_rows), key, text, SAMPLE_BYTES)
     if not known:
         return None
 

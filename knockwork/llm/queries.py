@@ -136,7 +136,7 @@ with written as (
 ), hashed as (select page_id, segment, strlen(record)::bigint as n_bytes, sha256(record) as sha256, damaged from written)
 select segment, row_number() over w - 1 as record_no, page_id,
   coalesce(sum(n_bytes) over (partition by segment order by page_id, sha256 rows between unbounded preceding and 1 preceding), 0)::bigint as "offset",
-  n_bytes, sha256, damaged
+  n_bytes, sha256, damaged, false as moved
 from hashed window w as (partition by segment order by page_id, sha256)
 """,
 }

@@ -20,3 +20,18 @@ def chosen(labelled: DataFrame, key: str, label: str, most: int) -> dict:
     known = labelled.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
     first = known.groupBy(key).agg(F.max(label).alias("label")).orderBy(F.xxhash64(key), key).limit(most)
     return {r[0]: r[1] for r in first.collect()}
+
+
+def within(docs: DataFrame, known: dict, key: str, text: str, most: int) -> dict:
+    """Those of the chosen keys, in their order, whose texts hold ``most`` bytes together; a key without a text needs none."""
+    if not known:
+        return known
+    sizes = docs.filter(F.col(key).isin(list(known))).groupBy(key).agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0))).alias("n"))
+    n = {r[0]: r[1] for r in sizes.collect()}
+    out, total = {}, 0
+    for k, label in known.items():
+        total += n.get(k, 0)
+        if total > most:
+            break
+        out[k] = label
+    return out

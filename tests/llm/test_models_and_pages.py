@@ -1,12 +1,17 @@
 """Trained models by held-out accuracy; pages and archives by planted cases; the pipeline by its stages."""
 
 import hashlib
+import math
 import random
+import re
 
+import numpy as np
 import pyarrow as pa
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from knockwork.llm import fixity, htmlwrap, langid, toxicity
+from knockwork.llm import fixity, htmlwrap, langid, sampling, toxicity
 
 D = "/root/testdata/sf0.001"
 
@@ -182,13 +187,24 @@ def test_archive_audit(spark):
     other = pages.withColumn("html", F.when(F.col("page_id").isin(3, 150), F.lit("<p>x</p>")).otherwise(F.col("html"))).withColumn("html", F.when(F.col("page_id") == 3, F.lit("<p>y</p>")).otherwise(F.col("html")))
     got = fixity.compare_archives(fixity.archive(pages, segment=64), fixity.archive(other, segment=64)).collect()
     assert len(got) == 201
-    damaged = {r.key for r in got if r.damaged}
-    assert {3, 150} <= damaged <= {3, *range(150, 200)}  # a longer record moves those behind it in its file
+    assert {r.key for r in got if r.damaged} == {3, 150}
+    assert {r.key for r in got if r.moved} == set(range(151, 192))  # a longer record moves those behind it in its file
     same = fixity.compare_archives(fixity.archive(pages), fixity.archive(pages))
     assert same.filter("damaged").count() == 0
     assert fixity.compare_archives(fixity.archive(pages.limit(0)), fixity.archive(pages.limit(0))).count() == 0
 
 
+def test_what_a_lost_record_moves(spark):
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"<p>{i}</p>") for i in range(40)] + [(None, "u", f"n{i}") for i in range(9)], "page_id long, url string, html string")
+    got = fixity.compare_archives(fixity.archive(pages), fixity.archive(pages.filter("page_id is null or page_id <> 20"))).collect()
+    assert len(got) == 49 and [r.key for r in got if r.damaged] == [20] and {r.key for r in got if r.moved} == set(range(21, 40))
+    assert len({r.segment for r in got if r.key is None}) > 1
+    extra = spark.createDataFrame([(1, "u", "h", "x", 3, True)], "page_id long, url string, html string, sha256 string, offset int, damaged boolean")
+    assert fixity.archive(extra).columns == ["segment", "record_no", "key", "offset", "n_bytes", "sha256"]
+    large = spark.createDataFrame([(1, "u", "é" * 3_000_000)], "page_id long, url string, html string")
+    assert fixity.archive(large).first().n_bytes > 6_000_000
+
+
 def test_warc_files(spark, tmp_path):
     body = b"".join(b"WARC/1.0\r\nWARC-Record-ID: <urn:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, len(t), t) for i, t in enumerate([b"one", b"", b"three"]))
     (tmp_path / "a.warc").write_bytes(body)
@@ -197,6 +213,114 @@ def test_warc_files(spark, tmp_path):
     assert rows[0].sha256 == hashlib.sha256(body[: rows[0].n_bytes]).hexdigest()
 
 
+def plain_subwords(text):
+    """Buckets of a text's subwords, one byte run after another."""
+    out = []
+    for word in re.findall(rb"[a-z\x80-\xff]+", (text or "").encode().lower()):
+        for n in langid.SIZES:
+            for i in range(len(word) + 2 - n):
+                part = (word + b" ")[i : i + n]
+                h = (int.from_bytes(part, "little") ^ (0x5BD1E995 if i == 0 else 0)) * (0x9E3779B1 + 2 * n) & 0xFFFFFFFF
+                out.append((h ^ h >> 15) * 0x85EBCA6B % 2**32 >> 32 - langid.BITS)
+    return out
+
+
+def test_language_scores_of_a_small_model():
+    rng = np.random.default_rng(4)
+    model = langid.Model(["aa", "bb", "cc"], rng.normal(size=(1 << langid.BITS, 3)), rng.normal(size=3), 1.7, 0.5)
+    texts = ["Hello wörld, it's", "ab", "a", "12 !?", "", None, "x" * 5000, "Ünï cödé 中文 abc"]
+    got = model.probabilities(langid.means(pa.array(texts), model.table))
+    for t, p in zip(texts, got, strict=True):
+        rows = [model.table[b] for b in plain_subwords(t)]
+        x = ((np.mean(rows, axis=0) if rows else np.zeros(3)) + model.bias) / model.temperature
+        assert np.allclose(p, np.exp(x) / np.exp(x).sum())
+
+
+def test_language_calibration_and_rejection(spark):
+    """Of mixed texts, those above the floor are right as often as it promises; sure predictions are sure."""
+    rng = random.Random(8)
+    sounds = {"xx": ["ka", "mi", "tor"], "yy": ["shé", "lo", "vra"]}
+    rows = []
+    for i in range(900):
+        own = rng.choice(["xx", "yy"])
+        share = rng.choice([0.5, 0.6, 0.95, 1.0])
+        rows.append((i, " ".join("".join(rng.choice(sounds[own if rng.random() < share else "xxyy".replace(own, "")[:2]]) for _ in range(3)) for _ in range(6)), own))
+    got = langid.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    truth = {r[0]: r[2] for r in rows}
+    held = [r for r in got if r.held_out]
+    kept = [r for r in held if not r.rejected]
+    right = [r.lang_pred == truth[r.doc_id] for r in kept]
+    assert 0 < len(kept) < len(held) and sum(right) >= 0.94 * len(right)
+    assert min(r.score for r in kept) > max((r.score for r in held if r.rejected), default=0)
+    mean = sum(r.score for r in held) / len(held)
+    assert abs(mean - sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held)) < 0.1
+
+
+M64 = (1 << 64) - 1
+
+
+def plain_mix(x):
+    x = (x ^ x >> 33) * 14029467366897019727 & M64
+    x = (x ^ x >> 29) * 1609587929392839161 & M64
+    return x ^ x >> 32
+
+
+def plain_ngrams(text):
+    h = [xxhash.xxh64_intdigest(w, 42) for w in re.findall(rb"[a-z0-9\x80-\xff]+", (text or "").encode().lower())]
+    found = [plain_mix(x) for x in h]
+    for gap, factor in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F)):
+        found += [plain_mix((a * factor + b) & M64) for a, b in zip(h, h[gap:])]
+    return {x >> 64 - toxicity.BITS for x in found}
+
+
+def test_toxicity_scores_of_a_small_model():
+    texts = ["You utter foobar", "a b a b a b", "", None, "ÀB c, d!", "w " * 4000, "one"]
+    known = sorted(b for t in texts for b in list(plain_ngrams(t))[::2])
+    known = sorted(set(known))
+    model = toxicity.Model(np.array(known), np.linspace(-2, 2, len(known)), -0.3)
+    weight = dict(zip(known, model.weights, strict=True))
+    bucket, text = toxicity.features(pa.array(texts))
+    got = model.logits(bucket, text, len(texts))
+    assert np.allclose(got, [-0.3 + sum(weight.get(b, 0.0) for b in plain_ngrams(t)) for t in texts])
+
+
+def test_ftrl_equals_a_plain_one():
+    rng = random.Random(3)
+    examples = [(np.array(sorted(rng.sample(range(50), rng.randint(0, 9))), np.int64), rng.randint(0, 1)) for _ in range(60)]
+    model = toxicity.learn(examples, 2, 11, 0.4)
+    rate = sum(y for _, y in examples) / 60
+    z, n = {}, {}
+    bias = 1 << toxicity.BITS
+    z[bias] = -math.log(rate / (1 - rate)) * (toxicity.BETA / toxicity.ALPHA + toxicity.L2)
+
+    def weight(i):
+        l1 = 0.0 if i == bias else 0.4
+        x = z.get(i, 0.0)
+        return 0.0 if abs(x) <= l1 else -(x - math.copysign(l1, x)) / ((toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    order = np.random.default_rng(11)
+    for _ in range(2):
+        for i in order.permutation(60):
+            at, y = [*examples[i][0].tolist(), bias], examples[i][1]
+            w = [weight(j) for j in at]
+            g = 1 / (1 + math.exp(-sum(w))) - y
+            for j, x in zip(at, w, strict=True):
+                s = (math.sqrt(n.get(j, 0.0) + g * g) - math.sqrt(n.get(j, 0.0))) / toxicity.ALPHA
+                z[j] = z.get(j, 0.0) + g - s * x
+                n[j] = n.get(j, 0.0) + g * g
+    assert model.bias == pytest.approx(weight(bias))
+    assert {b: pytest.approx(w) for b, w in zip(model.buckets.tolist(), model.weights.tolist())} == {i: weight(i) for i in sorted(z) if i != bias and weight(i)}
+    assert toxicity.penalty(examples) in toxicity.L1S and toxicity.penalty([]) == toxicity.L1S[0]
+
+
+def test_models_take_bounded_samples(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "abc " * 10) for i in range(20)] + [(99, None)], "doc_id long, text string")
+    known = sampling.chosen(docs, "doc_id", "doc_id", 50)
+    assert len(known) == 21 and list(sampling.within(docs, known, "doc_id", "text", 200)) == [k for k in known][: len(sampling.within(docs, known, "doc_id", "text", 200))]
+    assert 5 <= len(sampling.within(docs, known, "doc_id", "text", 200)) <= 6
+    assert sampling.within(docs, {}, "doc_id", "text", 200) == {}
+
+
 def test_subword_table_of_nothing():
     bucket, text = langid.subwords(pa.array(["", None, "1 2"]))
     assert len(bucket) == len(text) == 0
