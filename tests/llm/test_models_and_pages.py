@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -326,21 +327,78 @@ def test_subword_table_of_nothing():
     assert len(bucket) == len(text) == 0
 
 
-def test_pipeline_is_its_stages_in_order(spark):
+def good(text):
+    """The verdict of the default quality rules, rule by rule."""
+    from test_texts import SPACE, counts
+
+    n, chars, symbols, dup, again = counts(text)
+    lines, words = (text or "").split("\n"), SPACE.findall(text or "")
+    bad = n < 50 or 100 * again > 50 * n or symbols > n or chars < 2 * n or chars > 20 * n or max(map(len, words), default=0) > 2000
+    bad = bad or 2 * len(regex.findall(r"\p{L}", text)) < chars or 2 * dup > len(lines) or 2 * sum(x.endswith(("...", "…")) for x in lines) > len(lines)
+    bad = bad or 10 * sum(bool(re.match(r"[ \t]*[-*•]", x)) for x in lines) > 9 * len(lines) or (n >= 200 and 20 * len(set(words)) < n)
+    return not bad
+
+
+def test_pipeline_equals_its_stages_by_brute_force(spark):
     import corpus_pipeline
-    from test_texts import counts, groups, without_repeats
+    import public_tokenizers as P
+    import tiktoken
+    from test_texts import RANKS, contamination_of, groups, without_repeats
 
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{D}/documents.parquet").collect()]
+    from knockwork.llm import vocab
+
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=vocab.ranks(vocab.read(RANKS)), special_tokens={})
     docs = spark.read.parquet(f"{D}/documents.parquet")
-    kept = corpus_pipeline.drop_junk(spark, docs, D)
-    left = {r.doc_id: r.text for r in kept.collect()}
-    assert kept.columns == docs.columns
-    assert all(i not in left for i, t in rows if counts(t)[0] < 50)
-    one = {g[2] for g in groups(sorted(left.items()))}
-    rest = {i: t for i, _, n, t in without_repeats([(i, left[i]) for i in one], 50) if n} 
-    final = {i: rest.get(i, left[i]) for i in one}
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len(dict(rows)) == len(rows)
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{D}/benchmark.parquet").collect()]
+    want = [(i, t) for i, t in rows if good(t)]
+    assert 0 < len(want) < len(rows) and sorted(r.doc_id for r in corpus_pipeline.drop_junk(spark, docs, D).collect()) == sorted(i for i, _ in want)
+    one = set(groups(want, each=True))
+    want = [(i, t) for i, t in want if i in one]
+    want = [(i, left if n else t) for (i, t), (_, _, n, left) in zip(want, without_repeats(want, 50), strict=True)]
+    clean = {w[0] for w in contamination_of(want, bench) if not w[5]}
+    assert len(clean) < len(want)
+    expected = []
+    for i, t in want:
+        if i in clean:
+            ids = library.encode_ordinary(t)
+            expected.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()))
     got = corpus_pipeline.run(spark, D)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    out = {r.doc_id: r.decoded_sha256 for r in got.collect()}
-    assert set(out) <= set(final) and len(out) >= 0.8 * len(final)
-    assert all(h == hashlib.sha256(final[i].encode()).hexdigest() for i, h in out.items())
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+
+
+def test_stages_keep_columns_and_take_empty_tables(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs.limit(0), D)
+        assert out.schema == docs.schema and out.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), D).count() == 0
+
+
+CLASH = "k string, t int, text_ int, fp long, score double, h int, sieve_key int, substr_runs int, lang_pred string"
+
+
+@pytest.mark.parametrize("name", ["tokens", "bpe", "simhash", "substr", "contamination", "quality", "language", "toxicity"])
+def test_empty_tables_very_long_texts_and_clashing_columns(spark, name):
+    import public_tokenizers as P
+    from test_texts import RANKS, WORDS_JSON
+
+    from knockwork.llm import bytebpe, decontam, quality, simhash, substr, tokencount
+
+    run = {
+        "tokens": lambda d: tokencount.count_tokens(d, WORDS_JSON, 2048), "bpe": lambda d: bytebpe.encode_documents(d, RANKS, P.PATTERN, runs=bytebpe.RUNS),
+        "simhash": simhash.near_duplicates, "substr": substr.digests, "contamination": lambda d: decontam.contamination(d, spark.createDataFrame([(1, "word0 word1 word2")], "item_id long, text string")),
+        "quality": quality.judge, "language": langid.judge, "toxicity": lambda d: toxicity.judge(d, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")),
+    }[name]
+    kind = "doc_id long, text string, lang string, " + CLASH
+    rest = ("aa", "k", 1, 2, 3, 0.5, 4, 5, 6, "x")
+    long = " ".join(f"word{i % 9973}" for i in range(300_000)) + " " + "z" * 200_000
+    rows = [(1, long, *rest), (2, None, *rest), (3, "", *rest), (None, None, *rest), (3, "", *rest), (4, "plain words", *rest)]
+    out = run(spark.createDataFrame(rows, kind))
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(r[0]) for r in rows)
+    empty = run(spark.createDataFrame([], kind))
+    assert empty.schema.simpleString() == out.schema.simpleString() and empty.count() == 0
