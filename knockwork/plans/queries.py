@@ -231,11 +231,11 @@ def _signature(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.signature(expr, neighbours.knn_controls(cells, embedding, "0", K, NDIMS), K)
 
 
-def _projections(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _projections(spark: SparkSession, d: str, scale: bool = False) -> tuple[DataFrame, DataFrame]:
     cells, embedding = _points(spark, d)
     sign = embedding.select("cell_id", F.posexplode(F.slice("embedding", 1, 5)).alias("at", "prtb")).select("cell_id", (F.col("at") + 1).cast("long").alias("gene_id"), "prtb")
     genes = spark.range(1, 6).select(F.lit("1").alias("target"), F.col("id").alias("gene_id"))
-    return score.projection_scores(sign, cells, "0", genes, scale=False)
+    return score.projection_scores(sign, cells, "0", genes, scale=scale)
 
 
 PROJECTION = """x as (select vec_id cell_id, label, i, cast(embedding[i] as double) v from embeddings, (select unnest([1, 2, 3, 4, 5]) i) where label in (0, 1)),
@@ -248,6 +248,14 @@ def projection_score(spark: SparkSession, d: str) -> DataFrame:
     return _projections(spark, d)[0].select("cell_id", "gene", _r("pvec"))
 
 
+SCALED = PROJECTION.replace("x as (", "raw as (").replace("vec as (", "mo as (select i, avg(v) mu, stddev_samp(v) sd from raw group by 1), x as (select cell_id, label, i, (v - mu) / sd v from raw join mo using (i)),\nvec as (")
+
+
+@_query(f"with {SCALED} select cell_id, cast(label as varchar) gene, round(num / den, 6) pvec from num, vv")
+def projection_score_scaled(spark: SparkSession, d: str) -> DataFrame:
+    return _projections(spark, d, True)[0].select("cell_id", "gene", _r("pvec"))
+
+
 @_query(f"with {PROJECTION} select cell_id, cast(label as varchar) gene, cast(i as bigint) loo_gene, round((num - v * d) / (den - d * d), 6) pvec from num join x using (cell_id, label) join vec using (i), vv")
 def projection_score_loo(spark: SparkSession, d: str) -> DataFrame:
     return _projections(spark, d)[1].select("cell_id", "gene", "loo_gene", _r("pvec"))
