@@ -7,7 +7,8 @@ extended: every window over a hit is compared with those over the hits of other
 documents, and runs of windows that repeat are the maximal exact repeats.
 
 What very many documents share is collapsed where it is read: a block of rows sends one
-entry for a run of words that several of its documents hold, and decides for them itself.
+entry for a run of words that several of its documents hold, and decides for them itself; the
+runs of the last blocks that were so are remembered, so a task sends few entries for what stands everywhere.
 Entries are packed into one row for each bucket of hashes. Texts stay where they lie, but
 for those a sieve of the documents with hits, then of those with repeats, lets through; they
 travel compressed. Hashes of anchors only choose candidates; windows are compared by 96
@@ -46,8 +47,8 @@ WINDOW = 50
 BUCKET_ENTRIES = 1 << 21
 #: Bytes of an anchor's hash that are sent, besides those its bucket tells.
 ANCHOR_BYTES = 4
-#: Bytes of text whose windows are collapsed at once.
-BLOCK = 1 << 20
+#: Bytes of text whose windows are collapsed at once, and windows that a task remembers from block to block.
+BLOCK, REMEMBERED = 1 << 20, 1 << 16
 
 _BASE, _BASE2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _SENT = "bucket long, hashes binary, docs binary, tags binary, places binary"
@@ -135,10 +136,32 @@ def _runs_of(table: pa.Table) -> pa.Table:
     )
 
 
-def _row_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
-    """Columns doc, tag, text first: rows of about BLOCK bytes of text with their words."""
+class Recent:
+    """Windows that a task has met in several documents, each with a number; it forgets all when there are too many."""
+
+    def __init__(self, most: int = REMEMBERED):
+        self.most, self.h, self.more, self.value = most, np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64)
+
+    def look(self, h: np.ndarray, more: np.ndarray, none: int) -> np.ndarray:
+        """The number of each window, ``none`` for those that aren't known."""
+        if not len(self.h):
+            return np.full(len(h), none)
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        return np.where((self.h[at] == h) & (self.more[at] == more), self.value[at], none)
+
+    def meet(self, h: np.ndarray, more: np.ndarray, value: np.ndarray) -> None:
+        """Remember windows, those known already with their new numbers."""
+        if len(self.h) + len(h) > self.most:
+            self.h, self.more, self.value = self.h[:0], self.more[:0], self.value[:0]
+        h, more, value = (np.concatenate(x) for x in ((h[: self.most], self.h), (more[: self.most], self.more), (value[: self.most], self.value)))
+        self.h, first = np.unique(h, return_index=True)  # the new ones come first; of windows with one hash, one is known
+        self.more, self.value = more[first], value[first]
+
+
+def _row_blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Columns doc, tag, text first: rows of about ``size`` bytes of text with their words."""
     for batch in batches:
-        for a, b in blocks(np.asarray(pc.fill_null(pc.binary_length(batch.column(2)), 0)), BLOCK):
+        for a, b in blocks(np.asarray(pc.fill_null(pc.binary_length(batch.column(2)), 0)), size):
             part = batch.slice(a, b - a)
             yield part, scan(part.column(2))
 
@@ -178,7 +201,7 @@ def _opened(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBat
             yield part.set_column(at, "t", _unpacked(part.column(at)))
 
 
-def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
+def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "doc_id", window: int = WINDOW, block_bytes: int = BLOCK, remembered: int = REMEMBERED) -> DataFrame:
     """(doc, tag, runs): of each document that has any, the runs of windows that also start in a document with a smaller key.
 
     ``tag`` is xxhash64 of the text; ``runs`` holds (first, last) window starts as pairs of int64.
@@ -192,7 +215,8 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
 
     @released
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, words in _row_blocks(batches):
+        recent = Recent(remembered)
+        for part, words in _row_blocks(batches, block_bytes):
             ids, row = np.asarray(part.column(0)), words.text_of()
             at = _windows(words, size)
             if not len(at):
@@ -202,13 +226,16 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
             block = place % size == 0
             order, new, group = _groups(h)
             low, high = np.minimum.reduceat(doc[order], new), np.maximum.reduceat(doc[order], new)
-            several = low != high
+            blocked = np.logical_or.reduceat(block[order], new)
+            known = recent.look(h[order[new]], h[order[new]], -1)  # 0, or 1 where a reference block of the task is sent
+            several = (low != high) | (known >= 0)
             shared = np.empty(len(at), bool)
             shared[order] = several[group]
             yield _send(_home(doc[shared], bits), doc[shared], doc[shared] * 0, place[shared])
-            # Of what several documents share one entry goes on, which waits for no answer.
-            first = order[new[several]]
-            blocked = np.logical_or.reduceat(block[order], new)[several]
+            # Of what several documents share one entry goes on, which waits for no answer, and none if it would say nothing new.
+            recent.meet(h[order[new[several]]], h[order[new[several]]], np.maximum(known, blocked)[several])
+            fresh = several & (blocked > known)
+            first, blocked = order[new[fresh]], blocked[fresh]
             alone = np.flatnonzero(~shared)
             send = np.concatenate((alone, first))
             code = np.concatenate((place[alone] * 4 + block[alone] * 2, place[first] * 4 + blocked * 2 + 1))
@@ -234,7 +261,8 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
 
     @released
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, words in _row_blocks(_opened(batches, 2)):
+        recent = Recent(remembered)
+        for part, words in _row_blocks(_opened(batches, 2), block_bytes):
             ids, tags = np.asarray(part.column(0)), np.asarray(part.column(1))
             over = np.zeros(len(words.start) + 1, np.int64)
             for d, raw in enumerate(part.column(3).to_pylist()):
@@ -252,8 +280,13 @@ def repeats(docs: DataFrame, scratch: Scratch, text: str = "text", key: str = "d
             h, more = rolling(one, window, _BASE2)[at], rolling(one, window, _BASE)[at] >> U(32)
             doc, tag, place = ids[row], tags[row], at - words.first[row]
             order, new, group = _groups(h, more)
+            one_of, low = order[new], np.minimum.reduceat(doc[order], new)
+            before = recent.look(h[one_of], more[one_of], np.iinfo(np.int64).max)  # the smallest document that the task has sent
+            several = (low != np.maximum.reduceat(doc[order], new)) | (before < np.iinfo(np.int64).max)
+            low = np.minimum(low, before)
+            recent.meet(h[one_of][several], more[one_of][several], low[several])
             least = np.empty(len(at), np.int64)
-            least[order] = np.minimum.reduceat(doc[order], new)[group]
+            least[order] = low[group]
             gone = doc > least
             yield _send(_home(doc[gone], bits), doc[gone], tag[gone], place[gone])
             wait = ~gone
@@ -300,15 +333,15 @@ def _kept_parts(words: Words, d: int, raw: bytes | None, window: int) -> tuple[i
     return b - a, int((~keep).sum()), b" ".join(parts)
 
 
-def _with_repeats(docs: DataFrame, text: str, key: str, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _with_repeats(docs: DataFrame, text: str, key: str, window: int, **sizes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(found, maybe, clean): the repeats (doc, tag, runs) and the rows that may and that surely don't have any."""
     scratch = Scratch(docs.sparkSession, "substr")
-    found = repeats(docs, scratch, text, key, window)
+    found = repeats(docs, scratch, text, key, window, **sizes)
     maybe, clean = Sieve(found, F.xxhash64("doc", "tag"), scratch).split(docs, F.xxhash64(F.col(key).cast("long"), F.xxhash64(text)))
     return found, maybe, clean
 
 
-def digests(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
+def digests(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, **sizes: int) -> DataFrame:
     """``key``, n_words, n_removed and kept_sha256 of every row."""
     kind = docs.schema[key].dataType.simpleString()
     result = f"k {kind}, n_words long, n_removed long, kept_sha256 string"
@@ -326,7 +359,7 @@ def digests(docs: DataFrame, text: str = "text", key: str = "doc_id", window: in
         return run(_opened(batches, 2))
 
     given = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    found, maybe, clean = _with_repeats(given, "t", "k", window)
+    found, maybe, clean = _with_repeats(given, "t", "k", window, **sizes)
     moved = _packed(maybe.select("k", F.xxhash64("t").alias("tag_"), "t"), f"k {kind}, tag_ long")
     joined = moved.join(found, (F.col("k").cast("long") == F.col("doc")) & (F.col("tag_") == F.col("tag")), "left").select("k", "runs", "z").mapInArrow(run_opened, result)
     out = clean.select("k", F.lit(None).cast("binary").alias("runs"), "t").mapInArrow(run, result)

@@ -263,6 +263,8 @@ def test_substring_dedup(spark, n):
     rows = rows_of(9, 40, ["a", "b", "é", "dd"], 40)
     want = [(i, a, b, hashlib.sha256(t.encode()).hexdigest()) for i, a, b, t in without_repeats(rows + rows[:5], n)]
     assert plain(substr.digests(table(spark, rows), window=n)) == sorted(want, key=str)
+    for remembered in (3, 50, 1 << 16):
+        assert plain(substr.digests(table(spark, rows), window=n, block_bytes=60, remembered=remembered)) == sorted(want, key=str)
 
 
 def test_substring_removal_keeps_columns(spark):
