@@ -54,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument(f"--{name}", type=strict_bool, default=False)
     p.add_argument("--shared-embedding", type=strict_bool, default=False, help="one embedding for all targets")
     p.add_argument("--resume", action="store_true")
+    p.add_argument("--log-file", help="file of this machine that gets the log too")
     p.add_argument("--master", help="Spark's master; this machine if none is given")
     p.add_argument("--cpus", type=int, default=8)
     p.add_argument("--memory", default="64g")
@@ -109,7 +110,7 @@ def load(spark: SparkSession, args: argparse.Namespace) -> sc.Screen:
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """The result of all targets, as it is stored."""
     cfg = config_of(args)
-    said = {k: v for k, v in vars(args).items() if k not in ("resume", "master", "cpus", "memory", "outdir", "checkpoint_dir")}
+    said = {k: v for k, v in vars(args).items() if k not in ("resume", "master", "cpus", "memory", "outdir", "checkpoint_dir", "log_file")}
     stages = f"{args.outdir}/stages/{hashlib.sha256(json.dumps(said, sort_keys=True).encode()).hexdigest()[:16]}"
     versions = {"python": platform.python_version(), "spark": spark.version} | {m.__name__: m.__version__ for m in (pyspark, numpy, pandas, pyarrow)}
     session = json.dumps({"versions": versions, "parameters": said, "config": asdict(cfg)}, default=str)
@@ -158,7 +159,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
+    handlers = [logging.StreamHandler(), *([logging.FileHandler(args.log_file)] if args.log_file else [])]
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s", handlers=handlers)
     spark = session_of(args)
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         spark.sparkContext.setCheckpointDir(args.checkpoint_dir or f"{args.outdir}/checkpoints")
