@@ -41,7 +41,7 @@ class Counter(dict):
         super().__init__()
         self.pairs, self.specials, self.end = vocab.word_bpe(data)
         self.letters = vocab.byte_letters()
-        self.word = lru_cache(MEMO // 2)(self.word)
+        self.short = lru_cache(MEMO // 2)(self.merged)
         self.before: dict = {}
         self.find = regex.compile(WORDS).findall
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
@@ -58,6 +58,9 @@ class Counter(dict):
         return n
 
     def word(self, word: str) -> int:
+        return self.short(word) if len(word) <= MEMO_CHARS else self.merged(word)
+
+    def merged(self, word: str) -> int:
         symbols = [self.letters[b] for b in word.encode()]
         symbols[-1] += self.end
         return len(merge(symbols, lambda a, b: self.pairs.get((a, b))))
