@@ -56,7 +56,6 @@ HOSTS, KNOWN = 2000, 1 << 14
 BROADCAST_BYTES = 16 << 20
 
 #: Fixed values of HTML: elements by the way they are laid out or closed.
-RAW = {"script", "style", "textarea", "noscript", "template", "svg", "iframe", "select", "option", "head", "title", "math", "object", "canvas"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 BOXES = set("article aside blockquote body center dd details dialog div dl dt fieldset figure footer form header html li main menu nav ol section summary table tbody td tfoot th thead tr ul button".split())
 IMPLIED = set("/p /li /dt /dd /td /th /tr /thead /tbody /tfoot /body /html /head".split())
