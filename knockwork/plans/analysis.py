@@ -6,14 +6,13 @@ Python workers have one thread of linear algebra each: Spark sets OMP_NUM_THREAD
 from __future__ import annotations
 
 import logging
-import re
-import tempfile
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from knockwork.config import ScreenConfig
+from knockwork.functions.held import held as _held, shared_folder
 from knockwork.functions.names import dashed
 from knockwork.operators import expression, foldchange, glm, neighbours, routing, score, weights
 from knockwork.sources.screen import Screen, perturbations, prepare
@@ -64,26 +63,6 @@ def perturbation_scores(screen: Screen, cfg: ScreenConfig, targets: list[str], s
     return Scores(_held(scores.join(kind, "cell_id")), _held(loo.join(kind, "cell_id")), knn if cfg.store_neighbors else None)
 
 
-def _held(frame: DataFrame) -> DataFrame:
-    """Checkpointed for the steps that read it more than once: its plan is cut, which would grow with every step."""
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint()
-
-
-def shared_folder(spark: SparkSession) -> None:
-    """Sets the checkpoint folder where none is: the one that spark.checkpoint.dir names, or in local mode a temporary one.
-
-    A cluster without a folder that all its machines share is refused.
-    """
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not re.match(r"local(\[|$)", context.master):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="knockwork-"))
-
-
 def _genes_by_guide(expr: DataFrame, cells: DataFrame, cfg: ScreenConfig, targets: list[str], n_genes: int) -> DataFrame:
     """Genes that pass for any guide of a target, the smallest p of them first."""
     named = cells.withColumn("guide__", F.when(F.col("target") == cfg.control, F.lit(cfg.control)).otherwise(F.concat_ws("\t", "target", F.coalesce(F.col(cfg.guide_col), F.lit("")))))

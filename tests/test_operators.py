@@ -338,6 +338,40 @@ def test_variable_genes_and_components(spark):
     assert pca.count() == 80 and len(pca.first().embedding) == 3
 
 
+def test_components_of_thin_cells_send_little(spark):
+    """20,000 cells with one of 300 genes each: five tables of products in full would be 3.6 MB."""
+    counts = spark.range(20_000).selectExpr("id as cell_id", "id % 300 as gene_id", "cast(1 + id % 7 % 3 as double) as count")
+    cells = counts.select("cell_id", F.lit("T").alias("target"), F.col("count").alias("n_count"))
+    slices, expr = expression.one_slice(cells), expression.log_normalize(counts, cells.withColumn("n_count", F.col("n_count") + 1))
+    genes = spark.range(300).selectExpr("'' as slice", "id as gene_id")
+    store = spark.sparkContext._jsc.sc().statusStore()
+    before = store.executorList(True).head().totalShuffleWrite()
+    got = {r.cell_id: r.embedding for r in expression.pca(expr, slices, genes, 3).collect()}
+    assert len(got) == 20_000 and store.executorList(True).head().totalShuffleWrite() - before < 2_500_000
+    x = np.zeros((20_000, 300))
+    for r in expr.collect():
+        x[r.cell_id, r.gene_id] = r.expr
+    z = np.clip((x - x.mean(0)) / x.std(0, ddof=1), -10, 10)
+    have = np.array([got[c] for c in range(20_000)])
+    values = np.linalg.eigvalsh(np.cov(z.T))[::-1][:3]
+    assert np.allclose(np.cov(have.T), np.diag(values), atol=1e-8)
+
+
+def test_variable_genes_beyond_the_clip(spark):
+    rng = np.random.default_rng(3)
+    raw = rng.poisson(2.0, (50, 12)).astype(float)
+    raw[:, 4:] *= rng.integers(1, 4, 8)
+    raw[7, 2], raw[:, 3] = 900.0, 0.0
+    raw[9, 3] = 5.0
+    counts = spark.createDataFrame([(i, g, float(raw[i, g])) for i in range(50) for g in range(12) if raw[i, g]], "cell_id int, gene_id int, count double")
+    mean, var = raw.mean(0), raw.var(0, ddof=1)
+    z = (raw - mean) / np.sqrt(10 ** expression._loess(np.log10(mean), np.log10(var)))
+    assert (z > math.sqrt(50)).any()
+    want = (np.minimum(z, math.sqrt(50)) ** 2).sum(0) / 49
+    got = {r.gene_id: r.std_variance for r in expression.variable_genes(counts, 50, 12).collect()}
+    assert np.allclose([got[g] for g in range(12)], want)
+
+
 def test_registered_analyses_are_the_production_ones(monkeypatch):
     from knockwork.plans import queries
 
