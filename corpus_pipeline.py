@@ -13,6 +13,9 @@ from knockwork.llm import bytebpe, decontam, quality, simhash, substr
 from knockwork.llm.queries import BYTE_BPE
 from knockwork.llm.scratch import Scratch
 
+#: Units that a worker remembers while it encodes: executors still hold the heap that the stages before have filled.
+MEMO = 100_000
+
 
 def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
@@ -36,7 +39,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what is left."""
-    return bytebpe.encode_documents(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, runs=bytebpe.RUNS)
+    return bytebpe.encode_documents(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, runs=bytebpe.RUNS, memo=MEMO)
 
 
 STAGES = [

@@ -54,11 +54,12 @@ class Codec(dict):
 
     A unit is a pre-token or, where ``runs`` is given, a string that holds whole pre-tokens
     whatever stands around it; what ``runs`` finds must be so for the pattern at hand. Of what
-    was met before the last ``MEMO`` units, only those that were met again are remembered.
+    was met before the last ``memo`` units, only those that were met again are remembered.
     """
 
-    def __init__(self, data: bytes, pattern: str, runs: str | None = None):
+    def __init__(self, data: bytes, pattern: str, runs: str | None = None, memo: int = MEMO):
         super().__init__()
+        self.memo = memo
         self.ranks = vocab.ranks(data)
         self.said = {b: str(i).encode() for b, i in self.ranks.items()}
         self.raw = {said: b for b, said in self.said.items()}
@@ -76,7 +77,7 @@ class Codec(dict):
 
     def _remember(self, unit: str, out: bytes) -> None:
         if len(unit) <= MEMO_CHARS:
-            if len(self) >= MEMO:
+            if len(self) >= self.memo:
                 self.before = dict(self)
                 self.clear()
             self[unit] = out
@@ -84,7 +85,7 @@ class Codec(dict):
     def meet(self, units: Iterable[str]) -> None:
         """Encode together, piece by piece, what isn't remembered of some units."""
         units = set(units)
-        if len(self) > MEMO:
+        if len(self) > self.memo:
             self.before = dict(self)
             self.clear()
         lacking = units.difference(self)
@@ -274,8 +275,8 @@ def _digest(said: bytes, raw: bytes) -> tuple[int, str, str]:
     return said.count(b" ") + bool(said), hashlib.sha256(said).hexdigest(), hashlib.sha256(raw).hexdigest()
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", key: str = "doc_id", *, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD, runs: str | None = None) -> DataFrame:
-    """``key``, n_tokens, ids_sha256 and decoded_sha256 of every row."""
+def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", key: str = "doc_id", *, chunk: int = CHUNK, overlap: int = OVERLAP, spread: int = SPREAD, runs: str | None = None, memo: int = MEMO) -> DataFrame:
+    """``key``, n_tokens, ids_sha256 and decoded_sha256 of every row; a worker remembers ``memo`` units of late and as many before."""
     data = docs.sparkSession.sparkContext.broadcast(vocab.read(vocabulary))
     kind = docs.schema[key].dataType.simpleString()
     columns = ["k", "n_tokens", "ids_sha256", "decoded_sha256"]
@@ -283,7 +284,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
 
     @released
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with uncollected(), kept(("codec", data.value, pattern, runs), lambda: Codec(data.value, pattern, runs)) as codec:
+        with uncollected(), kept(("codec", data.value, pattern, runs, memo), lambda: Codec(data.value, pattern, runs, memo)) as codec:
             for batch in batches:
                 found = []
                 for a, b in blocks(np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)), BLOCK):

@@ -362,3 +362,14 @@ def test_scan_and_hashes():
     for n in (1, 3, 5, 25):
         r = textscan.rolling(textscan.mix(x), n, 12345)
         assert len(r) == 31 - n and len(set(r.tolist())) == len({tuple(x[i : i + n]) for i in range(31 - n)})
+
+
+def test_byte_bpe_remembers_no_more_than_it_is_told():
+    data = vocab.read(P.path("byte_bpe_50k.tiktoken"))
+    few, many = (bytebpe.Codec(data, P.PATTERN, bytebpe.RUNS, *m) for m in ((50,), ()))
+    for i in range(40):
+        units = few.units(" ".join(f"w{j} {chr(97 + j % 26)}é{j % 7}" for j in range(20 * i, 20 * i + 60)))
+        few.meet(units)
+        many.meet(units)
+        assert few.written(units) == many.written(units) and len(few) <= 50 + len(units) and len(few.before) <= 50 + len(units)
+    assert len(many) > 500
